@@ -321,14 +321,15 @@ def running_total(
     groups: Sequence[str] = (),
     *,
     sort_rows: int = SORT_ROWS,
+    probe: DataFrame | None = None,
 ) -> tuple[DataFrame, int]:
     """Add ``name``: the sum of ``weight`` over smaller values of the group; also return the row count.
 
     ``counted`` has one row per group and distinct value (a counted table, so no value is hot). Up to ``sort_rows``
     rows a window per group suffices. Beyond it values go to range buckets, two array look-ups per row, and each
-    bucket starts from its own offset.
+    bucket starts from its own offset. ``probe`` may name a cheaper frame with the same groups and values.
     """
-    chosen, rows = _splitters(counted, value, groups, 4096 if not groups else 1024)
+    chosen, rows = _splitters(counted if probe is None else probe, value, groups, 4096 if not groups else 1024)
     before = (Window.unboundedPreceding, -1)
     if rows <= sort_rows:
         w = Window.partitionBy(*refs(groups)) if groups else Window.partitionBy()

@@ -1,0 +1,16 @@
+"""Row-local operators that run unchanged on a streaming DataFrame.
+
+There are no windows, state or watermarks here: these are projections, and a fitted encoder or model applies to a
+stream as it does to a table.
+"""
+
+from gridloom.operators.clean import binarize, round_columns, round_scales
+from gridloom.operators.encode import OneHot, Scaler
+from gridloom.operators.project import normalize_names, rename_columns
+from gridloom.operators.trees import score
+from gridloom.plans.jobs import clean_table
+
+__all__ = [
+    "OneHot", "Scaler", "binarize", "clean_table", "normalize_names", "rename_columns", "round_columns",
+    "round_scales", "score",
+]
