@@ -146,16 +146,22 @@ def label_by_position(
     *,
     seed: object,
     keys: Sequence[str] | None = None,
+    whole_keys: bool = False,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """Add ``name``: ``labels[i]`` for rows between the ``i-1``-th and ``i``-th position of the seeded shuffle.
 
     Sizes are exact. The result is a map-only plan: a row's label follows from comparing its digest with literal
     cuts. Only when a cut falls inside a group of identical rows are those copies counted and written anew, which
-    keeps the size exact without bringing them together in one task.
+    keeps the size exact without bringing them together in one task. With ``whole_keys`` rows of equal keys always get
+    one label, and a size is exact up to the key group its cut falls into.
     """
     order = DigestOrder.of(df, seed, keys)
+    if whole_keys:
+        order = DigestOrder(order.head, None)
     cuts, _ = find_cuts(df, order, positions)
+    if whole_keys:
+        cuts = [Cut(c.bound + _PAST) if c.copies else c for c in cuts]
     label: Column | None = None
     for cut, value in zip(cuts, labels):
         before = order.below(cut.bound)

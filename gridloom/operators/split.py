@@ -44,13 +44,18 @@ def hold_out(
     name: str = SPLIT,
     held: str = TEST,
     kept: str = TRAIN,
+    whole_keys: bool = False,
 ) -> DataFrame:
-    """Q2: mark exactly ``round(fraction * rows)`` rows (half to even) as held out, without looking at the target."""
+    """Q2: mark exactly ``round(fraction * rows)`` rows (half to even) as held out, without looking at the target.
+
+    ``whole_keys`` keeps rows of equal keys on one side, for tables in which an entity has several rows.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("the held-out fraction must lie between 0 and 1")
     if target not in df.columns and not df.isEmpty():
         raise ValueError(f"target column {target!r} not found")
-    return label_by_position(df, name, [held, kept], lambda n: [round(fraction * n)], seed=seed, keys=keys)
+    return label_by_position(df, name, [held, kept], lambda n: [round(fraction * n)], seed=seed, keys=keys,
+                             whole_keys=whole_keys)
 
 
 def with_validation(

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions.columns import ref
 from gridloom.operators.metrics import cv_summary, fold_metrics
@@ -134,7 +135,7 @@ def score(model: Any, df: DataFrame) -> DataFrame:
 def score_with(df: DataFrame, predictor: Any, features: Sequence[str], *, name: str = "prediction") -> DataFrame:
     """M8: the same for any object with ``predict(frame)``, evaluated on Arrow batches."""
     shared = df.sparkSession.sparkContext.broadcast(predictor)  # one model object
-    schema = df.schema.add(name, "double")
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
     columns = list(features)
 
     def run(batches):
