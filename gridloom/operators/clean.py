@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from gridloom.functions.columns import ref, refs, require_columns, stacked, string_columns
 from gridloom.functions.numeric import nanoseconds, parse_number, round_exact, round_scaled, to_number
-from gridloom.operators.order import BROADCAST_ROWS, HOT_ROWS, SORT_ROWS, dense_codes, look_up
+from gridloom.operators.order import BROADCAST_ROWS, HOT_ROWS, SORT_ROWS, Sizes, dense_codes, look_up
 
 # Stand-in for a missing category.
 MISSING_CATEGORY = "__MISSING__"
 
+MAPPED_CODES = 10_000  # codes that still fit a literal map
+
 # The indicator column, and the columns kept at one decimal by the cleaning job.
 INDICATOR_COLUMN = "physical-exercise"
 ONE_DECIMAL_COLUMNS = (
@@ -96,11 +98,15 @@ def numeric_text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if row[c] >= max(1, row["_rows"] // 2)]
 
 
-def category_codes(df: DataFrame, columns: Sequence[str], *, sort_rows: int = SORT_ROWS) -> tuple[DataFrame, int]:
+def category_codes(df: DataFrame, columns: Sequence[str], *, sort_rows: int = SORT_ROWS) -> tuple[DataFrame, Sizes]:
     """Code table ``(column, value, n, code)``: sorted position of each category of each column; missing is one."""
     long = stacked(df, list(columns)).withColumn("value", F.coalesce("value", F.lit(MISSING_CATEGORY)))
     counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return dense_codes(counted, "value", "code", ["column"], sort_rows=sort_rows)
+    codes, sizes = dense_codes(counted, "value", "code", ["column"], sort_rows=sort_rows)
+    if sizes.rows <= MAPPED_CODES:
+        return codes, sizes
+    heaviest = counted.agg(F.max("n").alias("w")).first()["w"]
+    return codes, Sizes(sizes.rows, sizes.largest_group, heaviest)
 
 
 def ensure_numeric(
@@ -134,15 +140,15 @@ def ensure_numeric(
                        hot_rows=hot_rows)
 
 
-def apply_codes(df: DataFrame, columns: Sequence[str], codes: DataFrame, code_rows: int, *, unseen: int = -1,
+def apply_codes(df: DataFrame, columns: Sequence[str], codes: DataFrame, sizes: Sizes, *, unseen: int = -1,
                 broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Replace text columns by the codes of a table fitted elsewhere; values it does not hold get ``unseen``.
 
     Small tables become a literal map evaluated inside the projection. Larger ones are joined per column.
     """
-    if code_rows <= 10_000:
+    if sizes.rows <= MAPPED_CODES:
         known: dict[str, list] = {c: [] for c in columns}
-        for r in codes.collect():  # at most 10,000 rows
+        for r in codes.collect():  # at most MAPPED_CODES rows
             known[r["column"]].append((r["value"], int(r["code"])))
         changes = {}
         for c in columns:
@@ -156,7 +162,7 @@ def apply_codes(df: DataFrame, columns: Sequence[str], codes: DataFrame, code_ro
     for c in columns:
         table = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), "n", F.col("code").alias("_code"))
         keyed = out.withColumn("_value", F.coalesce(ref(c), F.lit(MISSING_CATEGORY)))
-        known_rows = look_up(keyed, table, ["_value"], table_rows=code_rows, weight="n",
+        known_rows = look_up(keyed, table, ["_value"], sizes=sizes, weight="n",
                              broadcast_rows=broadcast_rows, hot_rows=hot_rows)
         out = known_rows.withColumn(c, F.col("_code").cast("int")).select(*refs(order))
     return out

@@ -10,8 +10,10 @@ Three building blocks, all of which stay balanced when one key, value or group o
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,10 +25,11 @@ from gridloom.functions.digest import key_digest, row_digest
 _STEP = 4  # hex digits per radix level: at most 65,536 counters per level
 _DIGEST = 32  # hex digits of one md5
 _PAST = "g"  # sorts after every hex digit
+_CROWD = 1_000  # rows from which a prefix with a single digest is worth a look
 
 BUCKET_ROWS = 50_000  # aimed rows per rank bucket while there are fewer than 16**4 buckets
 HOT_ROWS = 1_000_000  # a digest or value holding more rows than this is handled on its own
-SORT_ROWS = 1_000_000  # distinct values one task may order without range buckets
+SORT_ROWS = 4_000_000  # distinct values one task may order without range buckets
 BROADCAST_ROWS = 1_000_000  # rows of a lookup table that may be broadcast
 COPY_CHUNK = 100_000  # copies one task writes out
 
@@ -81,10 +84,25 @@ class Cut:
 
 
 def _prefix_counts(df: DataFrame, order: DigestOrder, digits: int, within: Sequence[str]) -> dict[str, int]:
+    """Rows per digest prefix. A prefix behind which there is one digest only comes back as that whole digest."""
     if within:
-        df = df.where(order.prefix(digits - _STEP).isin(list(within)))
-    counted = df.groupBy(order.prefix(digits).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["prefix"]: r["n"] for r in counted.collect()}  # at most 16**4 rows per open cut
+        lengths = {len(w) for w in within}
+        inside = [order.prefix(n).isin([w for w in within if len(w) == n]) for n in lengths]
+        df = df.where(reduce(lambda a, b: a | b, inside))
+    whole = order.head if digits <= _DIGEST else order.tail
+    rows = df.select(order.prefix(digits).alias("prefix"), F.xxhash64(whole).alias("h"))
+    counted = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), (F.min("h") == F.max("h")).alias("one"))
+    found = counted.collect()  # at most 16**4 rows per open cut
+    counts = {r["prefix"]: r["n"] for r in found}
+    crowded = [r["prefix"] for r in found if r["one"] and r["n"] > _CROWD]
+    if crowded and digits % _DIGEST:
+        # copies, or rows of one key: skip the levels that could not tell them apart
+        full = order.prefix(_DIGEST if digits <= _DIGEST else 2 * _DIGEST)
+        behind = df.where(order.prefix(digits).isin(crowded)).groupBy(full.alias("d")).agg(F.count(F.lit(1)).alias("n"))
+        for r in behind.collect():
+            counts.pop(r["d"][:digits], None)
+            counts[r["d"]] = r["n"]
+    return counts
 
 
 def find_cuts(df: DataFrame, order: DigestOrder, positions: Callable[[int], Sequence[int]]) -> tuple[list[Cut], int]:
@@ -104,28 +122,28 @@ def find_cuts(df: DataFrame, order: DigestOrder, positions: Callable[[int], Sequ
             done[k] = Cut(_PAST)
         else:
             open_cuts[k] = ("", k)
-    digits = _STEP
     while open_cuts:
-        by_parent: dict[str, list[tuple[str, int]]] = {}
-        for prefix in sorted(counts):
-            by_parent.setdefault(prefix[:-_STEP], []).append((prefix, counts[prefix]))
+        ordered = sorted(counts)
         still_open: dict[int, tuple[str, int]] = {}
         for k, (parent, left) in open_cuts.items():
-            for prefix, n in by_parent[parent]:
+            for prefix in ordered[bisect_left(ordered, parent):]:
+                n = counts[prefix]
+                if left == n:
+                    done[k] = Cut(prefix + _PAST)
+                    break
                 if left < n:
-                    if digits == order.length:
-                        done[k] = Cut(prefix, left) if left else Cut(prefix)
+                    if len(prefix) == order.length:
+                        done[k] = Cut(prefix, left)
                     else:
                         still_open[k] = (prefix, left)
                     break
                 left -= n
-                if left == 0:
-                    done[k] = Cut(prefix + _PAST)
-                    break
         open_cuts = still_open
         if open_cuts:
-            digits += _STEP
-            counts = _prefix_counts(df, order, digits, sorted({p for p, _ in open_cuts.values()}))
+            counts = {}
+            parents = {p for p, _ in open_cuts.values()}
+            for length in sorted({len(p) for p in parents}):
+                counts |= _prefix_counts(df, order, length + _STEP, sorted(p for p in parents if len(p) == length))
     return [done[k] for k in wanted], total
 
 
@@ -305,18 +323,35 @@ def _rank_hot(df: DataFrame, order: DigestOrder, hot_start: dict[str, int], name
 # value order
 
 
-def _splitters(counted: DataFrame, value: str, groups: Sequence[str], slots: int) -> tuple[dict, int]:
-    """A pseudo-random choice of values per group, and the number of rows; the choice only balances the buckets."""
+@dataclass(frozen=True)
+class Sizes:
+    """What is known of a counted table: its rows, those of its largest group, and its largest weight."""
+
+    rows: int
+    largest_group: int
+    heaviest: float
+
+
+def _probe(counted: DataFrame, value: str, weight: str, groups: Sequence[str], slots: int) -> tuple[dict, Sizes]:
+    """A pseudo-random choice of values per group, and sizes; the choice only balances the buckets."""
     slot = F.pmod(F.xxhash64(ref(value)), F.lit(slots))
     probe = (
         counted.groupBy(*refs(groups), slot.alias("_slot"))
-        .agg(F.count(F.lit(1)).alias("_m"), F.min_by(ref(value), F.xxhash64(ref(value), F.lit(1))).alias("_v"))
+        .agg(
+            F.count(F.lit(1)).alias("_m"),
+            F.max(ref(weight)).alias("_w"),
+            F.min_by(ref(value), F.xxhash64(ref(value), F.lit(1))).alias("_v"),
+        )
         .collect()  # at most ``slots`` rows per group
     )
     chosen: dict[tuple, list] = {}
+    sizes: dict[tuple, int] = {}
     for r in probe:
-        chosen.setdefault(tuple(r[g] for g in groups), []).append(r["_v"])
-    return {g: sorted(vs) for g, vs in chosen.items()}, sum(r["_m"] for r in probe)
+        group = tuple(r[g] for g in groups)
+        chosen.setdefault(group, []).append(r["_v"])
+        sizes[group] = sizes.get(group, 0) + r["_m"]
+    found = Sizes(sum(sizes.values()), max(sizes.values(), default=0), max((r["_w"] or 0 for r in probe), default=0))
+    return {g: sorted(vs) for g, vs in chosen.items()}, found
 
 
 def running_total(
@@ -327,53 +362,44 @@ def running_total(
     groups: Sequence[str] = (),
     *,
     sort_rows: int = SORT_ROWS,
-    probe: DataFrame | None = None,
-) -> tuple[DataFrame, int]:
-    """Add ``name``: the sum of ``weight`` over smaller values of the group; also return the row count.
+) -> tuple[DataFrame, Sizes]:
+    """Add ``name``: the sum of ``weight`` over smaller values of the group; also return the table's sizes.
 
-    ``counted`` has one row per group and distinct value (a counted table, so no value is hot). Up to ``sort_rows``
-    rows a window per group suffices. Beyond it values go to range buckets, two array look-ups per row, and each
-    bucket starts from its own offset. ``probe`` may name a cheaper frame with the same groups and values.
+    ``counted`` has one row per group and distinct value (a counted table, so no value is hot). While the largest
+    group has at most ``sort_rows`` values, a window per group suffices. Beyond it values go to range buckets, found
+    by binary search in a small array, and each bucket starts from its own offset.
     """
-    chosen, rows = _splitters(counted if probe is None else probe, value, groups, 4096 if not groups else 1024)
+    slots = 1024 if groups else 4096
+    chosen, sizes = _probe(counted, value, weight, groups, slots)
     before = (Window.unboundedPreceding, -1)
-    if rows <= sort_rows:
-        w = Window.partitionBy(*refs(groups)) if groups else Window.partitionBy()
-        total = F.sum(ref(weight)).over(w.orderBy(ref(value)).rowsBetween(*before))
-        return counted.withColumn(name, F.coalesce(total, F.lit(0).cast("long"))), rows
+    by_group = Window.partitionBy(*refs(groups))
+    if sizes.largest_group <= sort_rows:
+        total = F.sum(ref(weight)).over(by_group.orderBy(ref(value)).rowsBetween(*before))
+        return counted.withColumn(name, F.coalesce(total, F.lit(0).cast("long"))), sizes
 
-    spark = counted.sparkSession
     value_type = counted.schema[value].dataType.simpleString()
     group_types = [f"`{g}` {counted.schema[g].dataType.simpleString()}" for g in groups]
-    table = []
-    for group, values in chosen.items():
-        stride = max(1, int(len(values) ** 0.5))
-        fine = [values[i : i + stride] for i in range(0, len(values), stride)]
-        table.append((*group, [block[0] for block in fine], fine))
-    schema = ", ".join([*group_types, f"_coarse array<{value_type}>", f"_fine array<array<{value_type}>>"])
-    bounds = spark.createDataFrame(table, schema)
-    if groups:
-        spread = counted.join(F.broadcast(bounds), list(groups))  # 1,024 values for each of the few groups
-    else:
-        coarse, fine = table[0][-2], table[0][-1]
-        literal = spark.createDataFrame([(0, coarse, fine)], f"_one int, _coarse array<{value_type}>, "
-                                                            f"_fine array<array<{value_type}>>")
-        spread = counted.withColumn("_one", F.lit(0)).join(F.broadcast(literal), "_one").drop("_one")  # one row
-    block = F.size(F.filter("_coarse", lambda b: b <= ref(value)))
-    spread = spread.withColumn("_block", block)
-    place = F.when(F.col("_block") == 0, F.lit(0)).otherwise(
-        F.size(F.filter(F.element_at("_fine", F.col("_block")), lambda b: b <= ref(value))))
-    spread = spread.withColumn("_place", place).drop("_coarse", "_fine")
-    keys = [*groups, "_block", "_place"]
-    sizes = spread.groupBy(*refs(keys)).agg(F.sum(ref(weight)).alias("_size"))
-    by_group = Window.partitionBy(*refs(groups)) if groups else Window.partitionBy()
-    sizes = sizes.withColumn(
-        "_start", F.coalesce(F.sum("_size").over(by_group.orderBy("_block", "_place").rowsBetween(*before)), F.lit(0))
-    ).drop("_size")
+    anchor = list(groups) or ["_all"]
+    schema = ", ".join([*(group_types or ["_all int"]), f"_bounds array<{value_type}>"])
+    table = [(*(group or (0,)), values) for group, values in chosen.items()]
+    bounds = counted.sparkSession.createDataFrame(table, schema)
+    spread = counted if groups else counted.withColumn("_all", F.lit(0))
+    spread = spread.join(F.broadcast(bounds), anchor)  # at most ``slots`` values per group
+    spread = spread.withColumn("_part", F.lit(0))
+    step = slots
+    while step:  # number of bounds that are not above the value
+        hit = F.get("_bounds", F.col("_part") + (step - 1)) <= ref(value)
+        spread = spread.withColumn("_part", F.col("_part") + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    spread = spread.drop("_bounds")
+    keys = [*anchor, "_part"]
+    totals = spread.groupBy(*refs(keys)).agg(F.sum(ref(weight)).alias("_size"))
+    start = F.sum("_size").over(Window.partitionBy(*refs(anchor)).orderBy("_part").rowsBetween(*before))
+    totals = totals.select(*refs(keys), F.coalesce(start, F.lit(0)).alias("_start"))
     inner = F.sum(ref(weight)).over(Window.partitionBy(*refs(keys)).orderBy(ref(value)).rowsBetween(*before))
-    placed = spread.join(F.broadcast(sizes), keys)  # at most 4,096 buckets, or 1,024 per group
+    placed = spread.join(F.broadcast(totals), keys)  # at most ``slots`` + 1 buckets per group
     out = placed.withColumn(name, F.col("_start") + F.coalesce(inner, F.lit(0)))
-    return out.select(*refs(counted.columns), ref(name)), rows
+    return out.select(*refs(counted.columns), ref(name)), sizes
 
 
 def look_up(
@@ -381,19 +407,22 @@ def look_up(
     table: DataFrame,
     keys: Sequence[str],
     *,
-    table_rows: int,
+    sizes: Sizes,
     weight: str,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key and a ``weight`` counting its occurrences.
 
-    A table of checked small size is broadcast. A larger one is split by its own counts: keys with more than
-    ``hot_rows`` occurrences (few by arithmetic) are broadcast, all others join by shuffle, where no key is hot.
+    A table of checked small size is broadcast. A larger one joins by shuffle when no key is frequent. Else it is
+    split by its own counts: keys with more than ``hot_rows`` occurrences (few by arithmetic) are broadcast, all others
+    join by shuffle.
     """
     keys = list(keys)
-    if table_rows <= broadcast_rows:
+    if sizes.rows <= broadcast_rows:
         return rows.join(F.broadcast(table.drop(weight)), keys)
+    if sizes.heaviest <= hot_rows:
+        return rows.join(table.drop(weight), keys)
     frequent = table.where(ref(weight) > hot_rows)
     hot = F.broadcast(frequent.drop(weight))  # at most occurrences / hot_rows keys
     rest = rows.join(F.broadcast(frequent.select(*refs(keys))), keys, "left_anti")
@@ -409,14 +438,14 @@ def average_rank(
     counted = present.groupBy(ref(column)).agg(F.count(F.lit(1)).alias("_n"))
     table, size = running_total(counted, column, "_n", "_before", sort_rows=sort_rows)
     table = table.withColumn(name, F.col("_before") + (F.col("_n") + 1) / 2).drop("_before")
-    joined = look_up(present, table, [column], table_rows=size, weight="_n", broadcast_rows=broadcast_rows,
+    joined = look_up(present, table, [column], sizes=size, weight="_n", broadcast_rows=broadcast_rows,
                      hot_rows=hot_rows)
     return joined.select(*refs(df.columns), ref(name))
 
 
 def dense_codes(values: DataFrame, value: str, name: str, groups: Sequence[str] = (), *,
-                sort_rows: int = SORT_ROWS) -> tuple[DataFrame, int]:
-    """Add ``name``, the 0-based position of every distinct value of its group, and return the row count."""
-    coded, rows = running_total(values.withColumn("_one", F.lit(1).cast("long")), value, "_one", name, groups,
-                                sort_rows=sort_rows)
-    return coded.drop("_one"), rows
+                sort_rows: int = SORT_ROWS) -> tuple[DataFrame, Sizes]:
+    """Add ``name``, the 0-based position of every distinct value of its group, and return the sizes."""
+    coded, sizes = running_total(values.withColumn("_one", F.lit(1).cast("long")), value, "_one", name, groups,
+                                 sort_rows=sort_rows)
+    return coded.drop("_one"), sizes

@@ -20,7 +20,7 @@ LISTED = 15
 PREVIEWED = 10
 TOTAL = "TOTAL"
 
-GENERATED_PAIRS = 80  # column pairs up to which correlations are generated expressions
+GENERATED_PAIRS = 10  # column pairs up to which correlations are generated expressions
 
 
 # --------------------------------------------------------------------------------------------------------------
@@ -207,22 +207,27 @@ def spearman_with_target(
         .where(F.col("x").isNotNull())
     )
     count = F.count(F.lit(1)).alias("n")
-    x_table, x_rows = running_total(long.groupBy("feature", "x").agg(count), "x", "n", "before", ["feature"],
-                                    sort_rows=sort_rows)
+    # both counted tables are read several times within this call: kept in memory, then on disk
+    x_counts = long.groupBy("feature", "x").agg(count).persist()
+    x_table, sizes = running_total(x_counts, "x", "n", "before", ["feature"], sort_rows=sort_rows)
     x_table = x_table.withColumn("rx", F.col("before") + (F.col("n") + 1) / 2).drop("before")
-    ranked = look_up(long, x_table, ["feature", "x"], table_rows=x_rows, weight="n", broadcast_rows=broadcast_rows,
+    ranked = look_up(long, x_table, ["feature", "x"], sizes=sizes, weight="n", broadcast_rows=broadcast_rows,
                      hot_rows=hot_rows)
-    by_y = ranked.groupBy("feature", "y").agg(count, F.sum("rx").alias("srx"))
-    y_table, _ = running_total(by_y, "y", "n", "before", ["feature"], sort_rows=sort_rows,
-                               probe=long.groupBy("feature", "y").agg(count))
-    ry = F.col("before") + (F.col("n") + 1) / 2
-    y_sums = y_table.groupBy("feature").agg(
-        F.sum("n").alias("rows"), F.sum(ry * F.col("srx")).alias("sxy"), F.sum(F.col("n") * ry * ry).alias("syy")
-    )
-    x_sums = x_table.groupBy("feature").agg(F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"))
-    level = F.col("rows") * (F.col("rows") + 1) * (F.col("rows") + 1) / 4.0  # rows times the squared mean rank
-    rho = F.try_divide(F.col("sxy") - level, F.sqrt((F.col("sxx") - level) * (F.col("syy") - level)))
-    found = y_sums.join(x_sums, "feature").select("feature", F.col("rows").alias("n_rows"), rho.alias("rho")).collect()
+    by_y = ranked.groupBy("feature", "y").agg(count, F.sum("rx").alias("srx")).persist()
+    try:
+        y_table, _ = running_total(by_y, "y", "n", "before", ["feature"], sort_rows=sort_rows)
+        ry = F.col("before") + (F.col("n") + 1) / 2
+        y_sums = y_table.groupBy("feature").agg(
+            F.sum("n").alias("rows"), F.sum(ry * F.col("srx")).alias("sxy"), F.sum(F.col("n") * ry * ry).alias("syy")
+        )
+        x_sums = x_table.groupBy("feature").agg(F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"))
+        level = F.col("rows") * (F.col("rows") + 1) * (F.col("rows") + 1) / 4.0  # rows times the squared mean rank
+        rho = F.try_divide(F.col("sxy") - level, F.sqrt((F.col("sxx") - level) * (F.col("syy") - level)))
+        both = y_sums.join(x_sums, "feature")
+        found = both.select("feature", F.col("rows").alias("n_rows"), rho.alias("rho")).collect()
+    finally:
+        by_y.unpersist()
+        x_counts.unpersist()
     rows = [(r["feature"], r["n_rows"], r["rho"], correlation_p_value(r["rho"], r["n_rows"])) for r in found]
     result = df.sparkSession.createDataFrame(rows, schema)  # one row per feature
     return result.orderBy(F.abs("rho").desc_nulls_last(), "feature")

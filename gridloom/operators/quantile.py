@@ -13,7 +13,7 @@ from gridloom.functions.columns import ref
 from gridloom.functions.numeric import to_number
 from gridloom.operators.order import SORT_ROWS, running_total
 
-DIRECT_ROWS = 1_000_000  # rows up to which the built-in percentile may hold a column's values in one task
+DIRECT_ROWS = 100_000  # rows up to which the built-in percentile may hold a column's values in one task
 _ACCURACY = 10_000  # of the approximate percentiles that bracket the exact ones
 _SLACK = 2.0 / _ACCURACY
 
@@ -90,7 +90,8 @@ def _values_at(numbers: DataFrame, brackets: dict, below: dict, ranks: dict, sor
         F.when(ref(c).between(*brackets[c, i]), F.struct(F.lit(k).alias("slot"), ref(c).alias("value")))
         for k, (c, i) in enumerate(slots)
     ]
-    long = numbers.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.slot", "e.value")
+    near = reduce(lambda a, b: a | b, [ref(c).between(*brackets[c, i]) for c, i in slots])
+    long = numbers.where(near).select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.slot", "e.value")
     counted = long.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"))
     placed, _ = running_total(counted, "value", "n", "before", ["slot"], sort_rows=sort_rows)
     hits = []

@@ -13,6 +13,7 @@ from gridloom.operators.order import (
     COPY_CHUNK,
     HOT_ROWS,
     DigestOrder,
+    Sizes,
     expand_copies,
     global_rank,
     label_by_position,
@@ -165,8 +166,9 @@ def allocate_in_groups(
                 (F.col("_need") - F.col("_seen")).alias("_copies"))
         .checkpoint()  # one row per group, read several times below
     )
-    groups = cuts.count()
-    joined = look_up(rows, cuts, ["_g"], table_rows=groups, weight="_size", broadcast_rows=broadcast_rows,
+    found = cuts.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("w")).first()
+    sizes = Sizes(found["n"], 1, found["w"] or 0)
+    joined = look_up(rows, cuts, ["_g"], sizes=sizes, weight="_size", broadcast_rows=broadcast_rows,
                      hot_rows=hot_rows)
     at = F.col("_head") == F.col("_cut_head")
     if order.tail is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.numeric import round_exact
 from gridloom.operators import clean, project
 from gridloom.operators.encode import OneHot
+from gridloom.operators.order import Sizes
 from gridloom.sources import models, reports, splits, tables
 from gridloom.sources.scratch import scratch_path
 
@@ -60,12 +61,12 @@ def test_ensure_numeric_by_type(spark):
 
 def test_category_codes_by_join_equal_codes_by_map(spark):
     df = spark.range(500).select("id", F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 40)).alias("c"))
-    codes, rows = clean.category_codes(df, ["c"], sort_rows=5)
-    a = clean.apply_codes(df, ["c"], codes, rows)
-    b = clean.apply_codes(df, ["c"], codes, 20_000, broadcast_rows=10, hot_rows=100)
+    codes, sizes = clean.category_codes(df, ["c"], sort_rows=5)
+    a = clean.apply_codes(df, ["c"], codes, sizes)
+    b = clean.apply_codes(df, ["c"], codes, Sizes(20_000, 41, 300), broadcast_rows=10, hot_rows=100)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
     test = spark.createDataFrame([(1, "new"), (2, "hot")], "id long, c string")
-    assert [r["c"] for r in clean.apply_codes(test, ["c"], codes, rows).orderBy("id").collect()] == [-1, 40]
+    assert [r["c"] for r in clean.apply_codes(test, ["c"], codes, sizes).orderBy("id").collect()] == [-1, 40]
 
 
 def test_target_roles(spark):
