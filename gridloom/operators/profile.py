@@ -198,37 +198,36 @@ def spearman_with_target(
     schema = "feature string, n_rows long, rho double, p_value double"
     if not names:
         return df.sparkSession.createDataFrame([], schema)
-    entries = [F.struct(F.lit(c).alias("feature"), to_number(ref(c), df.schema[c].dataType).alias("x")) for c in names]
+    # features by number, and values first among the keys: sorts then compare one machine word
+    entries = [F.struct(F.lit(i).alias("f"), to_number(ref(c), df.schema[c].dataType).alias("x")) for i, c in enumerate(names)]
     long = (
         df.select(to_number(ref(target), df.schema[target].dataType).alias("y"), F.array(*entries).alias("_f"))
         .where(F.col("y").isNotNull())
         .select("y", F.explode("_f").alias("_e"))
-        .select("_e.feature", "_e.x", "y")
+        .select("_e.f", "_e.x", "y")
         .where(F.col("x").isNotNull())
     )
     count = F.count(F.lit(1)).alias("n")
     # both counted tables are read several times within this call: kept in memory, then on disk
-    x_counts = long.groupBy("feature", "x").agg(count).persist()
-    x_table, sizes = running_total(x_counts, "x", "n", "before", ["feature"], sort_rows=sort_rows)
+    x_counts = long.groupBy("x", "f").agg(count).persist()
+    x_table, sizes = running_total(x_counts, "x", "n", "before", ["f"], sort_rows=sort_rows)
     x_table = x_table.withColumn("rx", F.col("before") + (F.col("n") + 1) / 2).drop("before")
-    ranked = look_up(long, x_table, ["feature", "x"], sizes=sizes, weight="n", broadcast_rows=broadcast_rows,
-                     hot_rows=hot_rows)
-    by_y = ranked.groupBy("feature", "y").agg(count, F.sum("rx").alias("srx")).persist()
+    ranked = look_up(long, x_table, ["x", "f"], sizes=sizes, weight="n", broadcast_rows=broadcast_rows, hot_rows=hot_rows)
+    by_y = ranked.groupBy("y", "f").agg(count, F.sum("rx").alias("srx")).persist()
     try:
-        y_table, _ = running_total(by_y, "y", "n", "before", ["feature"], sort_rows=sort_rows)
+        y_table, _ = running_total(by_y, "y", "n", "before", ["f"], sort_rows=sort_rows)
         ry = F.col("before") + (F.col("n") + 1) / 2
-        y_sums = y_table.groupBy("feature").agg(
+        y_sums = y_table.groupBy("f").agg(
             F.sum("n").alias("rows"), F.sum(ry * F.col("srx")).alias("sxy"), F.sum(F.col("n") * ry * ry).alias("syy")
         )
-        x_sums = x_table.groupBy("feature").agg(F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"))
+        x_sums = x_table.groupBy("f").agg(F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"))
         level = F.col("rows") * (F.col("rows") + 1) * (F.col("rows") + 1) / 4.0  # rows times the squared mean rank
         rho = F.try_divide(F.col("sxy") - level, F.sqrt((F.col("sxx") - level) * (F.col("syy") - level)))
-        both = y_sums.join(x_sums, "feature")
-        found = both.select("feature", F.col("rows").alias("n_rows"), rho.alias("rho")).collect()
+        found = y_sums.join(x_sums, "f").select("f", F.col("rows").alias("n_rows"), rho.alias("rho")).collect()
     finally:
         by_y.unpersist()
         x_counts.unpersist()
-    rows = [(r["feature"], r["n_rows"], r["rho"], correlation_p_value(r["rho"], r["n_rows"])) for r in found]
+    rows = [(names[r["f"]], r["n_rows"], r["rho"], correlation_p_value(r["rho"], r["n_rows"])) for r in found]
     result = df.sparkSession.createDataFrame(rows, schema)  # one row per feature
     return result.orderBy(F.abs("rho").desc_nulls_last(), "feature")
 

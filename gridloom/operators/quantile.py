@@ -57,8 +57,13 @@ def exact_quantiles(
     for slot, (first, last, _) in ranks.items():
         if not below[slot] <= first <= last < below[slot] + inside[slot]:
             brackets[slot] = (float("-inf"), float("inf"))  # the approximation missed: take the whole column
-            below[slot] = 0
-    values = _values_at(numbers, brackets, below, {s: (a, b) for s, (a, b, _) in ranks.items()}, sort_rows)
+            below[slot], inside[slot] = 0, counts[slot[0]]
+    # a bracket of one value needs no further look
+    values = {(*slot, rank): low for slot, (low, high) in brackets.items() if low == high for rank in ranks[slot][:2]}
+    wide = {slot: bracket for slot, bracket in brackets.items() if bracket[0] != bracket[1]}
+    if wide:
+        few = sum(inside[s] for s in wide) <= direct_rows
+        values |= _values_at(numbers, wide, below, {s: ranks[s][:2] for s in wide}, sort_rows, few)
     for (c, i), (first, last, weight) in ranks.items():
         low, high = values[c, i, first], values[c, i, last]
         answers[c][i] = low + (high - low) * weight
@@ -84,7 +89,7 @@ def _count_brackets(numbers: DataFrame, brackets: dict) -> tuple[dict, dict]:
     )
 
 
-def _values_at(numbers: DataFrame, brackets: dict, below: dict, ranks: dict, sort_rows: int) -> dict:
+def _values_at(numbers: DataFrame, brackets: dict, below: dict, ranks: dict, sort_rows: int, few: bool) -> dict:
     slots = list(brackets)
     entries = [
         F.when(ref(c).between(*brackets[c, i]), F.struct(F.lit(k).alias("slot"), ref(c).alias("value")))
@@ -93,18 +98,26 @@ def _values_at(numbers: DataFrame, brackets: dict, below: dict, ranks: dict, sor
     near = reduce(lambda a, b: a | b, [ref(c).between(*brackets[c, i]) for c, i in slots])
     long = numbers.where(near).select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.slot", "e.value")
     counted = long.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = {}
+
+    def read_off(k: int, value: float, before: int, n: int) -> None:
+        for rank in ranks[slots[k]]:
+            if before <= rank - below[slots[k]] < before + n:
+                found[(*slots[k], rank)] = value
+
+    if few:  # the brackets hold no more rows than one task may hold anyway
+        seen: dict[int, int] = {}
+        for r in sorted(counted.collect(), key=lambda r: (r["slot"], r["value"])):
+            before = seen.get(r["slot"], 0)
+            read_off(r["slot"], r["value"], before, r["n"])
+            seen[r["slot"]] = before + r["n"]
+        return found
     placed, _ = running_total(counted, "value", "n", "before", ["slot"], sort_rows=sort_rows)
     hits = []
     for k, slot in enumerate(slots):
         for rank in sorted(set(ranks[slot])):
             at = rank - below[slot]
             hits.append((F.col("slot") == k) & (F.col("before") <= at) & (F.col("before") + F.col("n") > at))
-    rows = placed.where(reduce(lambda a, b: a | b, hits)).collect()  # at most two rows per column and fraction
-    found = {}
-    for r in rows:
-        slot = slots[r["slot"]]
-        for rank in ranks[slot]:
-            at = rank - below[slot]
-            if r["before"] <= at < r["before"] + r["n"]:
-                found[(*slot, rank)] = r["value"]
+    for r in placed.where(reduce(lambda a, b: a | b, hits)).collect():  # at most two rows per column and fraction
+        read_off(r["slot"], r["value"], r["before"], r["n"])
     return found
