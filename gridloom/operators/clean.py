@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from gridloom.functions.columns import ref, refs, require_columns, stacked, string_columns
 from gridloom.functions.numeric import nanoseconds, parse_number, round_exact, round_scaled, to_number
 from gridloom.operators.order import BROADCAST_ROWS, HOT_ROWS, SORT_ROWS, Sizes, dense_codes, look_up
+from gridloom.sources.scratch import written
 
 # Stand-in for a missing category.
 MISSING_CATEGORY = "__MISSING__"
@@ -105,7 +106,8 @@ def category_codes(df: DataFrame, columns: Sequence[str], *, sort_rows: int = SO
     codes, sizes = dense_codes(counted, "value", "code", ["column"], sort_rows=sort_rows)
     if sizes.rows <= MAPPED_CODES:
         return codes, sizes
-    heaviest = counted.agg(F.max("n").alias("w")).first()["w"]
+    codes = written(codes, "codes")  # joined once per column
+    heaviest = codes.agg(F.max("n").alias("w")).first()["w"]
     return codes, Sizes(sizes.rows, sizes.largest_group, heaviest)
 
 

@@ -14,6 +14,7 @@ from gridloom.functions.numeric import ratio_or
 from gridloom.operators.order import global_rank
 from gridloom.operators.search import unit_draw
 from gridloom.operators.split import SEED
+from gridloom.sources.scratch import written
 
 # Repeats of the function and of the job.
 FUNCTION_REPEATS = 50
@@ -43,7 +44,7 @@ def permutation_scores(
 ) -> DataFrame:
     """``(feature, repeat, importance)``: the drop in R2 when one feature's values are permuted.
 
-    Rows are put in a seeded random order once. In each repeat every row takes a feature's value from the row a
+    Rows are put in a seeded random order once, and kept as a table. In each repeat every row takes a feature's value from the row a
     random distance further on, around the end: a permutation, drawn from the same order for all features as they are
     tested one at a time. So a repeat costs one join on the unique position instead of one per feature. The variants
     of a row are then built, scored and summed without another shuffle of rows. Features in ``unused`` are known not
@@ -54,7 +55,8 @@ def permutation_scores(
     kept = list(dict.fromkeys([*(keys or []), *features, target]))
     ranked = global_rank(df.select(*[ref(c) for c in kept]), "_pos", seed=seed, keys=keys)
     ranked = ranked.select((F.col("_pos") - 1).alias("_pos"), vector.alias("x"), ref(target).cast("double").alias("y"))
-    whole = score(df.select(vector.alias("x"), ref(target).cast("double").alias("y"))).agg(
+    ranked = written(ranked, "ranked")
+    whole = score(ranked.select("x", "y")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))).alias("sse"),
         (F.var_pop("y") * F.count("y")).alias("sst"),

@@ -251,8 +251,9 @@ def global_rank(
     cold = df.withColumn("_digest", order.head).withColumn("_bucket", F.substring("_digest", 1, digits))
     if hot:
         cold = cold.where(~F.col("_digest").isin(list(hot)))
-    tie = order.tail if order.tail is not None else F.lit("")
-    within = Window.partitionBy("_bucket").orderBy(F.col("_digest"), tie)
+    # equal keys are told apart by an 8-byte hash of the row rather than by a second digest: less to shuffle
+    tie = [] if order.tail is None else [F.xxhash64(*refs(df.columns))]
+    within = Window.partitionBy("_bucket").orderBy(F.col("_digest"), *tie)
     ranked = cold.join(F.broadcast(offsets), "_bucket").withColumn(  # at most 16**4 offsets
         name, F.col("_start") + F.row_number().over(within).cast("long")
     )
@@ -293,14 +294,14 @@ def _rank_hot(df: DataFrame, order: DigestOrder, hot_start: dict[str, int], name
     whole-row digest; each distinct row is then written out as often as it was counted.
     """
     columns = df.columns
-    tie = order.tail if order.tail is not None else F.lit("")
+    tie = F.lit(0).cast("long") if order.tail is None else F.xxhash64(*refs(columns))
     counted = (
         df.where(order.head.isin(list(hot_start)))
         .groupBy(*refs(columns))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_digest", order.head)
         .withColumn("_tie", tie)
-        .withColumn("_part", F.substring("_tie", 1, _STEP))
+        .withColumn("_part", F.shiftright("_tie", 48))  # 65,536 parts in the order of the hash
     )
     parts = counted.groupBy("_digest", "_part").agg(F.sum("_n").alias("_size"))
     parts = parts.withColumn(

@@ -221,7 +221,8 @@ def spearman_with_target(
             F.sum("n").alias("rows"), F.sum(ry * F.col("srx")).alias("sxy"), F.sum(F.col("n") * ry * ry).alias("syy")
         )
         x_sums = x_table.groupBy("f").agg(F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"))
-        level = F.col("rows") * (F.col("rows") + 1) * (F.col("rows") + 1) / 4.0  # rows times the squared mean rank
+        half = (F.col("rows").cast("double") + 1) / 2  # the mean rank
+        level = F.col("rows") * half * half
         rho = F.try_divide(F.col("sxy") - level, F.sqrt((F.col("sxx") - level) * (F.col("syy") - level)))
         found = y_sums.join(x_sums, "f").select("f", F.col("rows").alias("n_rows"), rho.alias("rho")).collect()
     finally:
@@ -275,31 +276,39 @@ def top_outliers(report: DataFrame, rows: int = LISTED) -> DataFrame:
 
 def histograms(df: DataFrame, columns: list[str] | None = None, *, bins: int = BINS) -> DataFrame:
     """Equal-width bins between minimum and maximum, the last one closed, per non-constant numeric column."""
+    schema = "column string, bin int, lower_edge double, upper_edge double, n_rows long"
     names = numeric_columns(df) if columns is None else columns
-    entries = [F.struct(F.lit(c).alias("column"), to_number(ref(c), df.schema[c].dataType).alias("x")) for c in names]
-    if not entries:
-        return df.sparkSession.createDataFrame([], "column string, bin int, lower_edge double, upper_edge double, n_rows long")
-    long = df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").where(F.col("x").isNotNull())
-    ends = long.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where(F.col("lo") < F.col("hi"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(bins)
-
-    def edge(k):
-        return F.when(k == bins, F.col("hi")).otherwise(F.col("lo") + k * step)
-
-    guess = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)).cast("int")
-    binned = long.join(F.broadcast(ends), "column").withColumn("_g", guess)  # one row per column
-    # the quotient may round across an edge: compare with the edges themselves
-    settled = (
-        F.when(F.col("x") < edge(F.col("_g")), F.col("_g") - 1)
-        .when((F.col("_g") != bins - 1) & (F.col("x") >= edge(F.col("_g") + 1)), F.col("_g") + 1)
-        .otherwise(F.col("_g"))
-    )
-    counted = binned.groupBy("column", settled.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.first("lo").alias("lo"), F.first("hi").alias("hi")
-    )
-    full = ends.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    merged = full.join(counted.select("column", "bin", "n_rows"), ["column", "bin"], "left")
-    return merged.select(
-        "column", "bin", edge(F.col("bin")).alias("lower_edge"), edge(F.col("bin") + 1).alias("upper_edge"),
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-    )
+    numbers = df.select(*[to_number(ref(c), df.schema[c].dataType).alias(c) for c in names])
+    if not names:
+        return df.sparkSession.createDataFrame([], schema)
+    row = numbers.agg(*[e for i, c in enumerate(names) for e in (
+        F.min(ref(c)).alias(f"a{i}"), F.max(ref(c)).alias(f"b{i}"))]).first()
+    ends = {c: (row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(names)}
+    ends = {c: (lo, hi) for c, (lo, hi) in ends.items() if lo is not None and lo < hi}
+    if not ends:
+        return df.sparkSession.createDataFrame([], schema)
+
+    def edge(k: int, lo: float, hi: float) -> float:
+        return hi if k == bins else lo + k * ((hi - lo) / bins)
+
+    entries = []
+    for i, (c, (lo, hi)) in enumerate(ends.items()):
+        x, step = ref(c), (hi - lo) / bins
+        guess = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
+        # the quotient may round across an edge: compare with the edges themselves
+        settled = (
+            F.when(x < F.lit(lo) + guess * F.lit(step), guess - 1)
+            .when((guess != bins - 1) & (x >= F.lit(lo) + (guess + 1) * F.lit(step)), guess + 1)
+            .otherwise(guess)
+        )
+        entries.append(settled + F.lit(i * bins))  # column and bin in one number
+    binned = numbers.select(F.explode(F.array(*entries)).alias("slot")).where(F.col("slot").isNotNull())
+    counted = binned.groupBy("slot").agg(F.count(F.lit(1)).alias("n_rows"))
+    frame = [
+        (i * bins + k, c, k, edge(k, lo, hi), edge(k + 1, lo, hi))
+        for i, (c, (lo, hi)) in enumerate(ends.items())
+        for k in range(bins)
+    ]
+    every = df.sparkSession.createDataFrame(frame, "slot int, column string, bin int, lower_edge double, upper_edge double")
+    merged = every.join(counted, "slot", "left")  # bins times columns on either side
+    return merged.select("column", "bin", "lower_edge", "upper_edge", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

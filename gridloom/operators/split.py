@@ -19,7 +19,7 @@ from gridloom.operators.order import (
     label_by_position,
     look_up,
 )
-from gridloom.sources.scratch import enable_checkpoints
+from gridloom.sources.scratch import written
 
 # Seed, held-out share, folds and split markers.
 SEED = 123
@@ -159,13 +159,11 @@ def allocate_in_groups(
     )
     at_cut = (F.col("_seen") < F.col("_need")) & (F.col("_seen") + F.col("_m") >= F.col("_need"))
     at_cut = at_cut | ((F.col("_need") == 0) & (F.col("_seen") == 0))
-    enable_checkpoints(df.sparkSession)
-    cuts = (
-        digests.where(at_cut)
-        .select("_g", F.col("_head").alias("_cut_head"), F.col("_tail").alias("_cut_tail"), "_m", "_size",
-                (F.col("_need") - F.col("_seen")).alias("_copies"))
-        .checkpoint()  # one row per group, read several times below
+    cuts = digests.where(at_cut).select(
+        "_g", F.col("_head").alias("_cut_head"), F.col("_tail").alias("_cut_tail"), "_m", "_size",
+        (F.col("_need") - F.col("_seen")).alias("_copies"),
     )
+    cuts = written(cuts, "cuts")  # one row per group, read several times below
     found = cuts.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("w")).first()
     sizes = Sizes(found["n"], 1, found["w"] or 0)
     joined = look_up(rows, cuts, ["_g"], sizes=sizes, weight="_size", broadcast_rows=broadcast_rows,

@@ -106,7 +106,9 @@ def _trained(spark, folder):
     return base, stored, trained
 
 
-@query()
+@query("""SELECT model, CAST(n - round_even(0.2 * n, 0) AS BIGINT) AS training_rows, applied
+          FROM (SELECT count(*) AS n FROM orders), (VALUES ('boosted', 'maxDepth,maxIter'), ('random_forest', 'maxDepth,numTrees'))
+          AS t(model, applied)""")
 def job_train(spark, folder):
     """G5, P17, P23."""
     _, _, trained = _trained(spark, folder)

@@ -158,7 +158,8 @@ _SMALL_BOOSTED = {"n_estimators": 12, "learning_rate": 0.3, "max_depth": 4, "min
 
 
 def _numeric(spark, folder):
-    df = learnable(spark, folder)
+    # the test tables come as one row group each: spread the rows before fitting many times over them
+    df = learnable(spark, folder).repartition(*KEY)
     return OneHot.fit(df.select("c_mktsegment")).apply(df)
 
 
@@ -186,7 +187,14 @@ def gbt_fit(spark, folder):
     return _metrics(trees.score(model, test), "score", "prediction")
 
 
-@query()
+@query("""SELECT model, parameter, fate, CAST((SELECT count(*) FROM orders) AS BIGINT) AS train_rows FROM (VALUES
+             ('random_forest', 'n_estimators', 'applied'), ('random_forest', 'max_depth', 'clamped'),
+             ('random_forest', 'min_samples_split', 'dropped'), ('random_forest', 'min_samples_leaf', 'applied'),
+             ('random_forest', 'max_features', 'applied'), ('random_forest', 'bootstrap', 'applied'),
+             ('boosted', 'n_estimators', 'applied'), ('boosted', 'learning_rate', 'applied'), ('boosted', 'num_leaves', 'dropped'),
+             ('boosted', 'max_depth', 'clamped'), ('boosted', 'min_child_samples', 'applied'), ('boosted', 'subsample', 'applied'),
+             ('boosted', 'colsample_bytree', 'applied'), ('boosted', 'reg_lambda', 'dropped'), ('boosted', 'reg_alpha', 'dropped'))
+           AS t(model, parameter, fate)""")
 def parameter_report(spark, folder):
     """What becomes of each searched parameter, with the rows it would be fitted on."""
     rows = table(spark, folder, "orders").count()
@@ -210,7 +218,7 @@ _BOOSTED_SPACE = (search.Param("n_estimators", "int", 3, 6), search.Param("learn
 @query()
 def forest_search(spark, folder):
     """M4, M7: seeded search with fold-wise encoding."""
-    found, _ = trees.search_trees(learnable(spark, folder), "score", trees.FOREST, trials=2, folds=3, keys=KEY,
+    found, _ = trees.search_trees(learnable(spark, folder).repartition(*KEY), "score", trees.FOREST, trials=2, folds=3, keys=KEY,
                                   drop=["o_orderkey"], space=_FOREST_SPACE)
     return rounded(found, 4)
 
@@ -218,7 +226,7 @@ def forest_search(spark, folder):
 @query()
 def gbt_search(spark, folder):
     """M6, M7."""
-    found, _ = trees.search_trees(learnable(spark, folder), "score", trees.BOOSTED, trials=2, folds=2, keys=KEY,
+    found, _ = trees.search_trees(learnable(spark, folder).repartition(*KEY), "score", trees.BOOSTED, trials=2, folds=2, keys=KEY,
                                   drop=["o_orderkey"], space=_BOOSTED_SPACE)
     return rounded(found, 4)
 
@@ -363,7 +371,10 @@ def report_roundtrip(spark, folder):
     return spark.createDataFrame([(found["source"], found["train_rows"])], "source string, train_rows long")
 
 
-@query()
+@query(f"""WITH {LEARNABLE_SQL} SELECT {r('avg(c_acctbal)', 'c_acctbal', 4)}, {r('avg(c_nationkey)', 'c_nationkey', 4)},
+           {r('avg(day)', 'day', 4)}, {r('avg(score)', 'score', 4)},
+           {", ".join(r(f"avg(CAST(c_mktsegment = '{v}' AS DOUBLE))", f"c_mktsegment_{v}", 4)
+                      for v in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))} FROM learnable""")
 def numeric_frame(spark, folder):
     """The numeric frame the tree models see, summarised."""
     df = ensure_numeric(_numeric(spark, folder)).drop("o_orderkey")
