@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.columns import numeric_columns, ref, stacked, string_columns
+from gridloom.functions.columns import numeric_columns, ref, refs, stacked, string_columns
 from gridloom.functions.numeric import round_exact, round_scaled, to_number
 from gridloom.functions.stats import correlation_p_value, pearson
 from gridloom.operators.order import BROADCAST_ROWS, HOT_ROWS, SORT_ROWS, look_up, running_total
@@ -291,10 +291,10 @@ def histograms(df: DataFrame, columns: list[str] | None = None, *, bins: int = B
     def edge(k: int, lo: float, hi: float) -> float:
         return hi if k == bins else lo + k * ((hi - lo) / bins)
 
-    entries = []
+    guesses, entries = {}, []
     for i, (c, (lo, hi)) in enumerate(ends.items()):
-        x, step = ref(c), (hi - lo) / bins
-        guess = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
+        x, step, guess = ref(c), (hi - lo) / bins, F.col(f"_g{i}")
+        guesses[f"_g{i}"] = F.least(((x - F.lit(lo)) / F.lit(hi - lo) * bins).cast("int"), F.lit(bins - 1))
         # the quotient may round across an edge: compare with the edges themselves
         settled = (
             F.when(x < F.lit(lo) + guess * F.lit(step), guess - 1)
@@ -302,7 +302,9 @@ def histograms(df: DataFrame, columns: list[str] | None = None, *, bins: int = B
             .otherwise(guess)
         )
         entries.append(settled + F.lit(i * bins))  # column and bin in one number
-    binned = numbers.select(F.explode(F.array(*entries)).alias("slot")).where(F.col("slot").isNotNull())
+    # the guesses are columns of their own: each is used several times
+    slots = numbers.withColumns(guesses).select(*[e.alias(f"_s{i}") for i, e in enumerate(entries)])
+    binned = slots.select(F.explode(F.array(*refs(slots.columns))).alias("slot")).where(F.col("slot").isNotNull())
     counted = binned.groupBy("slot").agg(F.count(F.lit(1)).alias("n_rows"))
     frame = [
         (i * bins + k, c, k, edge(k, lo, hi), edge(k + 1, lo, hi))
