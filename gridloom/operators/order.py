@@ -291,7 +291,7 @@ def _rank_hot(df: DataFrame, order: DigestOrder, hot_start: dict[str, int], name
     """Positions of the rows behind a few very frequent digests.
 
     Copies are first counted (map-side combined), so what is ordered are distinct rows, spread over buckets of the
-    whole-row digest; each distinct row is then written out as often as it was counted.
+    row hash; each distinct row is then written out as often as it was counted.
     """
     columns = df.columns
     tie = F.lit(0).cast("long") if order.tail is None else F.xxhash64(*refs(columns))

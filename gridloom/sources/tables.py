@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.functions.columns import ref, refs
+from gridloom.functions.columns import ref
+from gridloom.functions.numeric import NUMBER_PATTERN
 
 # Cell texts read as missing.
 MISSING_TOKENS = (
@@ -32,7 +33,6 @@ MISSING_TOKENS = (
 )
 
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
-_DECIMAL = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 _TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
@@ -59,7 +59,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         tests += [
             F.count(ref(c)).alias(f"n{i}"),
             F.count_if(ref(c).rlike(_WHOLE)).alias(f"w{i}"),
-            F.count_if(ref(c).rlike(_DECIMAL)).alias(f"d{i}"),
+            F.count_if(ref(c).rlike(NUMBER_PATTERN)).alias(f"d{i}"),
             F.count_if(ref(c).isin(*_TRUTH)).alias(f"t{i}"),
         ]
     row = text.agg(*tests).first()
@@ -104,7 +104,3 @@ def write_table(df: DataFrame, folder: str, name: str) -> tuple[str, str]:
 def row_and_column_counts(df: DataFrame) -> tuple[int, int]:
     """A14."""
     return df.count(), len(df.columns)
-
-
-def select_in_order(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*refs(names))
