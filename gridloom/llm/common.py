@@ -27,9 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns ``_id`` (a null id counts as the largest) and ``_text`` (a null text is empty); all others are dropped."""
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+def identified(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns ``_id`` (a null id counts as the largest), ``_text`` (a null text is empty) and, for named columns, the struct ``_kept``."""
+    kept = [F.struct(*keep).alias("_kept")] if keep else []
+    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *kept)
 
 
 def given_id(c: Column | str) -> Column:

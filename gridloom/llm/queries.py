@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, packing, url_filter, warc
+from gridloom.llm import byte_bpe, packing, substring_dedup, url_filter, warc
 from gridloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,23 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM split
+), windows AS (SELECT doc_id, i, sha256(array_to_string(list_slice(words, i, i + 49), ' ')) AS seq FROM starts
+), later AS (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY seq) AS repeats FROM windows
+), gone AS (SELECT doc_id, list(DISTINCT j) AS cut FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM later WHERE repeats) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(cut), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN cut IS NULL THEN words
+    ELSE list_select(words, list_sort(list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(cut, j)))) END, ' ')) AS kept_sha256
+FROM split LEFT JOIN gone USING (doc_id)
+""")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
