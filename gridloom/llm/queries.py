@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, url_filter, warc
-from gridloom.llm.common import table
+from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, toxicity, url_filter, warc
+from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +148,14 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=crc_fold(F.col("doc_id")) != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
