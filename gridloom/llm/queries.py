@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, toxicity, url_filter, warc
+from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +156,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
 
 
+@query()
+def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = syncmers.compare_with_edits(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), syncmers.as_text(F.col("prints")).alias("fingerprint"),
+        syncmers.as_text(F.col("edited_prints")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
