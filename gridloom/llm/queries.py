@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, warc
+from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +156,25 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
 
 
+@query(r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counted USING (vec_id)
+""")
+def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = syncmers.compare_with_edits(table(spark, sf_dir, "documents"))
