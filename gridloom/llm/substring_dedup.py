@@ -36,8 +36,8 @@ _PER_DOC = "_id long, _print long, found binary"
 
 
 def shard_count(spark: SparkSession) -> int:
-    """Twice the session's shuffle partitions, which are to be sized for the data."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The session's shuffle partitions, which are to be sized for the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,24 +64,25 @@ class _Sender:
     def __init__(self, shards: int):
         self.shards, self.docs, self.parts, self.held = shards, [], [], 0
 
-    def add(self, doc: tuple[int, int], *columns: np.ndarray) -> None:
-        self.parts.append((np.full(len(columns[0]), len(self.docs), np.uint32), *columns))
+    def add(self, doc: tuple[int, int], anchor: np.ndarray, *columns: np.ndarray) -> None:
+        """Entries of one document; those of equal anchor meet in a shard, so neighbours mostly travel together."""
+        self.parts.append((np.full(len(anchor), len(self.docs), np.uint32), anchor, *columns))
         self.docs.append(doc)
-        self.held += len(columns[0])
+        self.held += len(anchor)
 
     def rows(self, resolve=None) -> Iterator[pa.RecordBatch]:
         """Rows for the shards; ``resolve`` first says which entries need not be sent."""
         if not self.held:
             self.docs, self.parts = [], []
             return
-        at, *columns = (np.concatenate(c) for c in zip(*self.parts))
+        at, anchor, *columns = (np.concatenate(c) for c in zip(*self.parts))
         docs = np.array(self.docs, np.int64)
         self.docs, self.parts, self.held = [], [], 0
         if resolve is not None:
             known = resolve(docs[:, 0][at], *columns)
             yield self._row_batch(docs, at[known], [columns[-1][known]], None)
-            at, columns = at[~known], [c[~known] for c in columns]
-        yield self._row_batch(docs, at, columns, columns[0] % np.uint64(self.shards))
+            at, anchor, columns = at[~known], anchor[~known], [c[~known] for c in columns]
+        yield self._row_batch(docs, at, columns or [anchor], anchor % np.uint64(self.shards))
 
     def _row_batch(self, docs: np.ndarray, at: np.ndarray, columns: list[np.ndarray], shard: np.ndarray | None) -> pa.RecordBatch:
         made = []
@@ -100,8 +101,9 @@ class _Sender:
 
 
 def _packed(docs: np.ndarray, at: np.ndarray, columns: list[np.ndarray | None]) -> list[bytes | None]:
-    own, at = np.unique(at, return_inverse=True)
-    return [docs[own].tobytes(), at.astype("<u4").tobytes(), *(None if c is None else c.tobytes() for c in columns)]
+    """The documents, how many entries each has (these come document by document), and the columns."""
+    own, n = np.unique(at, return_counts=True)
+    return [docs[own].tobytes(), n.astype("<u4").tobytes(), *(None if c is None else c.tobytes() for c in columns)]
 
 
 def _unpacked(batch: pa.Table) -> list[tuple]:
@@ -109,7 +111,8 @@ def _unpacked(batch: pa.Table) -> list[tuple]:
     kinds = {"a": np.uint64, "b": np.uint64, "c": np.uint32}
     rows = []
     for row in batch.select(["docs", "at", "a", "b", "c"]).to_pylist():
-        rows.append((np.frombuffer(row["docs"], np.int64).reshape(-1, 2), np.frombuffer(row["at"], "<u4"), *(None if row[c] is None else np.frombuffer(row[c], k) for c, k in kinds.items())))
+        docs, n = np.frombuffer(row["docs"], np.int64).reshape(-1, 2), np.frombuffer(row["at"], "<u4")
+        rows.append((docs, np.repeat(np.arange(len(docs)), n), *(None if row[c] is None else np.frombuffer(row[c], k) for c, k in kinds.items())))
     return rows
 
 
@@ -195,9 +198,10 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             for doc, text, found in zip(keys, texts_as_bytes(batch.column(2)), batch.column(3).to_pylist()):
                 words = word_hashes(text)
                 suspect = np.frombuffer(b"".join(found), np.uint64)
-                at = np.flatnonzero(np.isin(anchors(words, window), suspect))
+                own = anchors(words, window)
+                at = np.flatnonzero(np.isin(own, suspect))
                 if len(at):
-                    sender.add(doc, gram_hashes(words, window)[at], second_gram_hashes(word_hashes(text, BASES[1]), window)[at], at.astype(np.uint32))
+                    sender.add(doc, own[at], gram_hashes(words, window)[at], second_gram_hashes(word_hashes(text, BASES[1]), window)[at], at.astype(np.uint32))
                 if sender.held >= FLUSH_ENTRIES:
                     yield from sender.rows(lambda ids, a, b, _: _later_copies(ids, a, b))
         yield from sender.rows(lambda ids, a, b, _: _later_copies(ids, a, b))
@@ -227,7 +231,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shorten each other; a null id counts as the largest and comes back null. Columns not named in ``keep`` are dropped.
     """
     ship(df.sparkSession)
-    docs = identified(df, id_col, text_col, keep).withColumn("_print", F.xxhash64("_text"))
+    named = identified(df, id_col, text_col, keep)
+    docs = named.select("_id", F.xxhash64("_text").alias("_print"), "_text", *(["_kept"] if keep else []))
     found = repeated_windows(docs.select("_id", "_print", "_text"), window).groupBy("_id", "_print").agg(F.collect_list("found").alias("found"))
     joined = docs.join(found, ["_id", "_print"], "left").select("_id", "_text", "found", *(["_kept"] if keep else []))
 
