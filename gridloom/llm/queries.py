@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
+import corpus_pipeline
+from gridloom.llm import byte_bpe, katz, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,9 +185,19 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id")) == 1)
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -222,12 +222,12 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     return map_arrow(candidates.select("_id", "_print", "_text", "found"), send, _SHARDED).groupBy("shard").applyInArrow(settle, _PER_DOC)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """``id_col, n_words, n_removed, kept_text`` and the columns named in ``keep``, a row per row.
 
     Words are runs of other characters than space and the controls from tab to carriage return. A word goes when a window
     that covers it also starts in a document with a smaller id; windows are judged on the input. Kept words are joined by
-    one space. Null and empty texts have no words; texts shorter than a window lose none; documents of equal id never
+    one space; with ``as_is``, texts that lose nothing come back unchanged. Null and empty texts have no words; texts shorter than a window lose none; documents of equal id never
     shorten each other; a null id counts as the largest and comes back null. Columns not named in ``keep`` are dropped.
     """
     ship(df.sparkSession)
@@ -250,7 +250,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     stays = np.cumsum(edges)[:-1] == 0
                     words = list(compress(words, stays.tolist()))
                 gone.append(total[-1] - len(words))
-                kept.append(b" ".join(words))
+                kept.append(text if as_is and not gone[-1] else b" ".join(words))
             columns = [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns + ([batch.column(3)] if keep else []), ["_id", "n_words", "n_removed", "kept_text"] + (["_kept"] if keep else []))
 
