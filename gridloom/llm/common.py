@@ -218,3 +218,64 @@ def gram_hashes(words: np.ndarray, k: int, base: int = _GRAM_BASES[0]) -> np.nda
 
 def second_gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return gram_hashes(words, k, _GRAM_BASES[1])
+
+
+# Answers to many owners in few rows ---------------------------------------------------------------------------------
+
+#: 16-byte keys of owners: digests, or pairs of 64-bit numbers.
+KEY = np.dtype("V16")
+OWNED = "bucket int, keys binary, counts binary, a binary, b binary"
+
+
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 16-byte keys and the place of each among them."""
+    if not len(keys):
+        return keys, np.empty(0, np.int64)
+    halves = np.ascontiguousarray(keys).view(np.uint64).reshape(-1, 2)
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    ordered = halves[order]
+    new = np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1)))
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return keys[order[new]], place
+
+
+def owned(keys: np.ndarray, own: np.ndarray, columns: list[np.ndarray], buckets: int) -> list[tuple]:
+    """Rows of ``OWNED``: entries by bucket of their owner, ``own`` being places in ``keys``; a row per bucket, however many owners."""
+    if not len(own):
+        return []
+    bucket = (np.ascontiguousarray(keys).view(np.uint64).reshape(-1, 2)[:, 0] % np.uint64(buckets)).astype(np.int64)[own]
+    order = np.lexsort((own, bucket))
+    own, bucket, columns = own[order], bucket[order], [c[order] for c in columns]
+    edges = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(own)]))
+    rows = []
+    for lo, hi in zip(edges, edges[1:]):
+        mine, n = np.unique(own[lo:hi], return_counts=True)
+        blobs = [c[lo:hi].tobytes() for c in columns]
+        rows.append((int(bucket[lo]), keys[mine].tobytes(), n.astype("<u4").tobytes(), *blobs, *[None] * (2 - len(blobs))))
+    return rows
+
+
+def owned_table(rows: list[tuple]) -> pa.Table:
+    kinds = [pa.int32(), *[pa.binary()] * 4]
+    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split()[0] for c in OWNED.split(", ")])
+
+
+def by_owner(group: pa.Table, kinds: list[np.dtype | type]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Owners of a bucket, where the entries of each begin (and the last end), and the columns in that order."""
+    rows = group.select(["keys", "counts", "a", "b"]).to_pylist()
+    names, place = distinct_keys(np.concatenate([np.frombuffer(r["keys"], KEY) for r in rows]))
+    own = np.repeat(place, np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows]))
+    order = np.argsort(own, kind="stable")
+    cuts = np.searchsorted(own[order], np.arange(len(names) + 1))
+    return names, cuts, [np.concatenate([np.frombuffer(r[c], k) for r in rows])[order] for c, k in zip("ab", kinds)]
+
+
+def as_blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of each run of values."""
+    data, cuts = values.tobytes(), (cuts * values.itemsize).tolist()
+    return pa.array([data[i:j] for i, j in zip(cuts, cuts[1:])], pa.binary())
+
+
+def key_array(keys: np.ndarray) -> pa.Array:
+    return pa.array([k.tobytes() for k in keys], pa.binary())

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import BASES, given_id, gram_hashes, identified, map_arrow, second_gram_hashes, ship, slices, texts_as_bytes, word_hashes
+from gridloom.llm.common import (
+    BASES, KEY, OWNED, as_blobs, by_owner, given_id, gram_hashes, identified, map_arrow, owned, owned_table, second_gram_hashes, ship, slices, texts_as_bytes, word_hashes,
+)
 
 WINDOW = 50
 #: Rows of the count-min sketch, and its cells per anchor in each row.
@@ -116,21 +118,25 @@ def _unpacked(batch: pa.Table) -> list[tuple]:
     return rows
 
 
-def _by_document(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
-    """One row per run of entries of a document: its key and the values as bytes."""
-    keys, blobs = [], []
-    for docs, at, values in parts:
-        if not len(at):
-            continue
-        order = np.argsort(at, kind="stable")
-        at, values = at[order], values[order]
-        cuts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]))
-        keys.append(docs[at[cuts[:-1]]])
-        data = values.tobytes()
-        cuts = (cuts * values.itemsize).tolist()
-        blobs += [data[i:j] for i, j in zip(cuts, cuts[1:])]
-    k = np.concatenate(keys) if keys else np.empty((0, 2), np.int64)
-    return pa.table({"_id": pa.array(k[:, 0], pa.int64()), "_print": pa.array(k[:, 1], pa.int64()), "found": pa.array(blobs, pa.binary())})
+def _to_documents(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], buckets: int) -> pa.Table:
+    """Entries (documents, places in them, values) on their way back, in a row per bucket of documents."""
+    if not parts:
+        return owned_table([])
+    first = np.cumsum([0] + [len(docs) for docs, _, _ in parts])
+    keys = np.concatenate([docs for docs, _, _ in parts]).view(KEY).ravel()
+    own = np.concatenate([at + start for (_, at, _), start in zip(parts, first)])
+    return owned_table(owned(keys, own, [np.concatenate([values for _, _, values in parts])], buckets))
+
+
+def _per_document(found: DataFrame, kind: type) -> DataFrame:
+    """``_id, _print, found``: all values of a document in one row."""
+
+    def sort(group: pa.Table) -> pa.Table:
+        names, cuts, (values,) = by_owner(group, [kind])
+        docs = names.view(np.int64).reshape(-1, 2)
+        return pa.table({"_id": pa.array(docs[:, 0]), "_print": pa.array(docs[:, 1]), "found": as_blobs(values, cuts)})
+
+    return found.groupBy("bucket").applyInArrow(sort, _PER_DOC)
 
 
 def count_min_estimates(keys: np.ndarray) -> np.ndarray:
@@ -168,9 +174,9 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
             twice = counted[start : start + len(keys)] >= 2
             start += len(keys)
             parts.append((docs, at[twice], keys[twice]))
-        return _by_document(parts)
+        return _to_documents(parts, shards)
 
-    return map_arrow(docs, send, _SHARDED).groupBy("shard").applyInArrow(estimate, _PER_DOC)
+    return _per_document(map_arrow(docs, send, _SHARDED).groupBy("shard").applyInArrow(estimate, OWNED), np.uint64)
 
 
 def _later_copies(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -188,8 +194,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """``_id, _print, found``: first words (32-bit, as bytes) of windows that also start in a document of smaller id."""
     spark = docs.sparkSession
     shards = shard_count(spark)
-    suspects = repeated_anchors(docs, window).groupBy("_id", "_print").agg(F.collect_list("found").alias("found"))
-    candidates = docs.join(suspects, ["_id", "_print"])
+    candidates = docs.join(repeated_anchors(docs, window), ["_id", "_print"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(shards)
@@ -197,7 +202,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for doc, text, found in zip(keys, texts_as_bytes(batch.column(2)), batch.column(3).to_pylist()):
                 words = word_hashes(text)
-                suspect = np.frombuffer(b"".join(found), np.uint64)
+                suspect = np.frombuffer(found, np.uint64)
                 own = anchors(words, window)
                 at = np.flatnonzero(np.isin(own, suspect))
                 if len(at):
@@ -217,9 +222,10 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 mine = later[start : start + len(at)]
                 start += len(at)
                 parts.append((docs, at[mine], c[mine]))
-        return _by_document(parts)
+        return _to_documents(parts, shards)
 
-    return map_arrow(candidates.select("_id", "_print", "_text", "found"), send, _SHARDED).groupBy("shard").applyInArrow(settle, _PER_DOC)
+    sent = map_arrow(candidates.select("_id", "_print", "_text", "found"), send, _SHARDED)
+    return _per_document(sent.groupBy("shard").applyInArrow(settle, OWNED), np.uint32)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
@@ -233,7 +239,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(df.sparkSession)
     named = identified(df, id_col, text_col, keep)
     docs = named.select("_id", F.xxhash64("_text").alias("_print"), "_text", *(["_kept"] if keep else []))
-    found = repeated_windows(docs.select("_id", "_print", "_text"), window).groupBy("_id", "_print").agg(F.collect_list("found").alias("found"))
+    found = repeated_windows(docs.select("_id", "_print", "_text"), window)
     joined = docs.join(found, ["_id", "_print"], "left").select("_id", "_text", "found", *(["_kept"] if keep else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +249,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 words = text.split()
                 total.append(len(words))
                 if found:
-                    at = np.unique(np.frombuffer(b"".join(found), np.uint32)).astype(np.int64)
+                    at = np.unique(np.frombuffer(found, np.uint32)).astype(np.int64)
                     edges = np.zeros(len(words) + 1, np.int32)
                     edges[at] += 1
                     edges[at + window] -= 1
