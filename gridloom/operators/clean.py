@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,6 @@ from gridloom.sources.scratch import written
 # Stand-in for a missing category.
 MISSING_CATEGORY = "__MISSING__"
 
-MAPPED_CODES = 10_000  # codes that still fit a literal map
-
 # The indicator column, and the columns kept at one decimal by the cleaning job.
 INDICATOR_COLUMN = "physical-exercise"
 ONE_DECIMAL_COLUMNS = (
@@ -104,67 +103,71 @@ def category_codes(df: DataFrame, columns: Sequence[str], *, sort_rows: int = SO
     long = stacked(df, list(columns)).withColumn("value", F.coalesce("value", F.lit(MISSING_CATEGORY)))
     counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     codes, sizes = dense_codes(counted, "value", "code", ["column"], sort_rows=sort_rows)
-    if sizes.rows <= MAPPED_CODES:
-        return codes, sizes
     codes = written(codes, "codes")  # joined once per column
-    heaviest = codes.agg(F.max("n").alias("w")).first()["w"]
-    return codes, Sizes(sizes.rows, sizes.largest_group, heaviest)
+    found = codes.agg(F.max("n").alias("w"), F.sum(F.octet_length("value") + 32).alias("b")).first()
+    return codes, Sizes(sizes.rows, sizes.largest_group, found["w"] or 0, found["b"] or 0)
+
+
+@dataclass(frozen=True)
+class NumericCoder:
+    """The rules that make a frame numeric, fitted on one frame and applied to any.
+
+    Text columns of which enough parses (see ``numeric_text_columns``) are read as numbers; all others become sorted category
+    codes. A value that the fitted frame does not hold gets ``unseen``.
+    """
+
+    parsed: tuple[str, ...]
+    coded: tuple[str, ...]
+    codes: DataFrame | None = None
+    sizes: Sizes | None = None
+    unseen: int = -1
+
+    @staticmethod
+    def fit(df: DataFrame, *, sort_rows: int = SORT_ROWS) -> NumericCoder:
+        text = string_columns(df)
+        parsed = tuple(numeric_text_columns(df, text))
+        coded = tuple(c for c in text if c not in parsed)
+        return NumericCoder(parsed, coded, *(category_codes(df, coded, sort_rows=sort_rows) if coded else ()))
+
+    def apply(self, df: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+        """Numbers stay, booleans become 0/1, times become nanoseconds, text follows the fitted rules."""
+        coded = [c for c in self.coded if c in df.columns]
+        changes = {}
+        for f in df.schema.fields:
+            c = ref(f.name)
+            if f.name in self.parsed:
+                changes[f.name] = parse_number(c.cast("string"))
+            elif f.name in coded:
+                continue
+            elif isinstance(f.dataType, T.BooleanType):
+                changes[f.name] = c.cast("int")
+            elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType, T.DayTimeIntervalType)):
+                changes[f.name] = nanoseconds(c, f.dataType)
+            elif isinstance(f.dataType, T.DecimalType):
+                changes[f.name] = c.cast("double")
+            elif not isinstance(f.dataType, T.NumericType):
+                changes[f.name] = parse_number(c.cast("string"))
+        out = df.withColumns(changes) if changes else df
+        if not coded:
+            return out
+        return apply_codes(out, coded, self.codes, self.sizes, unseen=self.unseen, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
 
 
 def ensure_numeric(
     df: DataFrame, *, sort_rows: int = SORT_ROWS, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Make every column numeric by its type.
-
-    Numbers stay, booleans become 0/1, times become nanoseconds. Text becomes numbers when enough of it parses (see
-    ``numeric_text_columns``) and sorted category codes otherwise.
-    """
-    text = string_columns(df)
-    parsed = set(numeric_text_columns(df, text))
-    coded = [c for c in text if c not in parsed]
-    changes = {}
-    for f in df.schema.fields:
-        c = ref(f.name)
-        if f.name in parsed:
-            changes[f.name] = parse_number(c)
-        elif isinstance(f.dataType, T.BooleanType):
-            changes[f.name] = c.cast("int")
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType, T.DayTimeIntervalType)):
-            changes[f.name] = nanoseconds(c, f.dataType)
-        elif isinstance(f.dataType, T.DecimalType):
-            changes[f.name] = c.cast("double")
-        elif not isinstance(f.dataType, T.NumericType) and f.name not in coded:
-            changes[f.name] = parse_number(c.cast("string"))
-    out = df.withColumns(changes) if changes else df
-    if not coded:
-        return out
-    return apply_codes(out, coded, *category_codes(df, coded, sort_rows=sort_rows), broadcast_rows=broadcast_rows,
-                       hot_rows=hot_rows)
+    """P8 on one frame: the rules are fitted on it and applied to it."""
+    return NumericCoder.fit(df, sort_rows=sort_rows).apply(df, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
 
 
 def apply_codes(df: DataFrame, columns: Sequence[str], codes: DataFrame, sizes: Sizes, *, unseen: int = -1,
                 broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Replace text columns by the codes of a table fitted elsewhere; values it does not hold get ``unseen``.
-
-    Small tables become a literal map evaluated inside the projection. Larger ones are joined per column.
-    """
-    if sizes.rows <= MAPPED_CODES:
-        known: dict[str, list] = {c: [] for c in columns}
-        for r in codes.collect():  # at most MAPPED_CODES rows
-            known[r["column"]].append((r["value"], int(r["code"])))
-        changes = {}
-        for c in columns:
-            value = F.coalesce(ref(c), F.lit(MISSING_CATEGORY))
-            pairs = [F.lit(x) for pair in known[c] for x in pair]
-            found = F.try_element_at(F.create_map(*pairs), value) if pairs else F.lit(None).cast("int")
-            changes[c] = F.coalesce(found, F.lit(unseen)).cast("int")
-        return df.withColumns(changes)
+    """Replace text columns by the codes of a table fitted elsewhere; values it does not hold get ``unseen``."""
     order = df.columns
     out = df
     for c in columns:
         table = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), "n", F.col("code").alias("_code"))
-        keyed = out.withColumn("_value", F.coalesce(ref(c), F.lit(MISSING_CATEGORY)))
-        known_rows = look_up(keyed, table, ["_value"], sizes=sizes, weight="n",
-                             broadcast_rows=broadcast_rows, hot_rows=hot_rows)
-        out = known_rows.withColumn(c, F.col("_code").cast("int")).select(*refs(order))
+        keyed = out.withColumn("_value", F.coalesce(ref(c).cast("string"), F.lit(MISSING_CATEGORY)))
+        found = look_up(keyed, table, ["_value"], sizes=sizes, weight="n", broadcast_rows=broadcast_rows, hot_rows=hot_rows, how="left")
+        out = found.withColumn(c, F.coalesce(F.col("_code"), F.lit(unseen)).cast("int")).select(*refs(order))
     return out

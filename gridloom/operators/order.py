@@ -31,6 +31,7 @@ BUCKET_ROWS = 50_000  # aimed rows per rank bucket while there are fewer than 16
 HOT_ROWS = 1_000_000  # a digest or value holding more rows than this is handled on its own
 SORT_ROWS = 4_000_000  # distinct values one task may order without range buckets
 BROADCAST_ROWS = 1_000_000  # rows of a lookup table that may be broadcast
+BROADCAST_BYTES = 64 << 20  # of a lookup table, where its bytes are known
 COPY_CHUNK = 100_000  # copies one task writes out
 
 
@@ -151,7 +152,7 @@ def expand_copies(counted: DataFrame, count_col: str, index_col: str, chunk: int
     """Write each row ``count_col`` times, numbered from 0 in ``index_col``; large counts spread over tasks."""
     chunks = counted.withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("long"), ref(count_col) - 1, F.lit(chunk).cast("long")))
-    ).repartition(F.col("_from"))
+    ).repartition(F.xxhash64(*refs(counted.columns), F.col("_from")))
     last = F.least(F.col("_from") + F.lit(chunk).cast("long"), ref(count_col)) - 1
     return chunks.withColumn(index_col, F.explode(F.sequence(F.col("_from"), last))).drop("_from", count_col)
 
@@ -229,8 +230,8 @@ def global_rank(
     while digits < _STEP and total / 16**digits > bucket_rows:
         digits += 1
     threshold = max(hot_rows, 8 * total // 16**_STEP)
-    suspects = [p for p, n in counts.items() if n > threshold]
-    hot: dict[str, int] = {}
+    suspects = sorted({p[:_STEP] for p, n in counts.items() if n > threshold})  # a crowded prefix may have come back whole
+    hot: list[str] = []
     if suspects:
         found = (
             df.where(order.prefix(_STEP).isin(suspects))
@@ -238,52 +239,39 @@ def global_rank(
             .agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > threshold)
         )
-        hot = {r["h"]: r["n"] for r in found.collect()}  # at most total / threshold <= 8,192 rows
+        hot = sorted(r["h"] for r in found.collect())  # at most total / threshold <= 8,192 rows
 
-    sizes: dict[str, int] = {}
-    for prefix, n in counts.items():
-        sizes[prefix[:digits]] = sizes.get(prefix[:digits], 0) + n
-    ordered = sorted(sizes)
-    starts = dict(zip(ordered, accumulate([0, *[sizes[p] for p in ordered]])))
+    # Each hot digest is a bucket of its own: it parts its prefix's bucket into what lies below, itself, and what lies above.
     spark = df.sparkSession
-    offsets = spark.createDataFrame(list(starts.items()) or [("", 0)], "_bucket string, _start long")
-
-    cold = df.withColumn("_digest", order.head).withColumn("_bucket", F.substring("_digest", 1, digits))
+    keyed = df.withColumn("_digest", order.head).withColumn("_bucket", F.substring("_digest", 1, digits))
     if hot:
-        cold = cold.where(~F.col("_digest").isin(list(hot)))
+        inside: dict[str, list[str]] = {}
+        for h in hot:
+            inside.setdefault(h[:digits], []).append(h)
+        bounds = spark.createDataFrame(list(inside.items()), "_bucket string, _hot array<string>")
+        keyed = keyed.join(F.broadcast(bounds), "_bucket", "left")  # at most 8,192 digests
+        below = F.size(F.filter("_hot", lambda h: h < F.col("_digest"))).cast("int")
+        part = F.when(F.col("_hot").isNull(), 0).otherwise(2 * below + F.array_contains("_hot", F.col("_digest")).cast("int"))
+        keyed = keyed.withColumn("_part", part).drop("_hot")
+        sizes = {(r["_bucket"], r["_part"]): r["n"] for r in keyed.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    else:
+        keyed = keyed.withColumn("_part", F.lit(0))
+        sizes = {}
+        for prefix, n in counts.items():
+            sizes[prefix[:digits], 0] = sizes.get((prefix[:digits], 0), 0) + n
+    ordered = sorted(sizes)  # at most 16**4 prefixes and two parts per hot digest
+    starts = dict(zip(ordered, accumulate([0, *[sizes[p] for p in ordered]])))
+    offsets = spark.createDataFrame([(b, p, n) for (b, p), n in starts.items()] or [("", 0, 0)], "_bucket string, _part int, _start long")
     # equal keys are told apart by an 8-byte hash of the row rather than by a second digest: less to shuffle
     tie = [] if order.tail is None else [F.xxhash64(*refs(df.columns))]
-    within = Window.partitionBy("_bucket").orderBy(F.col("_digest"), *tie)
-    ranked = cold.join(F.broadcast(offsets), "_bucket").withColumn(  # at most 16**4 offsets
+    within = Window.partitionBy("_bucket", "_part").orderBy(F.col("_digest"), *tie)
+    cold = keyed.where(F.col("_part") % 2 == 0) if hot else keyed
+    ranked = cold.join(F.broadcast(offsets), ["_bucket", "_part"]).withColumn(
         name, F.col("_start") + F.row_number().over(within).cast("long")
-    )
+    ).select(*refs(df.columns), ref(name))
     if not hot:
-        return ranked.select(*refs(df.columns), ref(name))
-
-    by_bucket: dict[str, list[tuple[str, int]]] = {}
-    for h in sorted(hot):
-        by_bucket.setdefault(h[:digits], []).append((h, hot[h]))
-    jump = F.lit(0).cast("long")
-    for h, n in hot.items():
-        jump = jump + F.when((F.col("_bucket") == h[:digits]) & (F.col("_digest") > h), F.lit(n)).otherwise(F.lit(0))
-    ranked = ranked.withColumn(name, ref(name) + jump).select(*refs(df.columns), ref(name))
-
-    hot_list = spark.createDataFrame([(h[:digits], h) for h in hot], "_bucket string, _hot string")
-    smaller = {
-        r["_hot"]: r["n"]
-        for r in cold.select("_bucket", "_digest")
-        .join(F.broadcast(hot_list), "_bucket")  # at most 8,192 rows
-        .where(F.col("_digest") < F.col("_hot"))
-        .groupBy("_hot")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    hot_start = {}
-    for bucket, members in by_bucket.items():
-        passed = 0
-        for h, n in members:
-            hot_start[h] = starts[bucket] + smaller.get(h, 0) + passed
-            passed += n
+        return ranked
+    hot_start = {h: starts[h[:digits], 2 * inside[h[:digits]].index(h) + 1] for h in hot}
     return ranked.unionByName(_rank_hot(df, order, hot_start, name, chunk))
 
 
@@ -331,6 +319,7 @@ class Sizes:
     rows: int
     largest_group: int
     heaviest: float
+    bytes: int = 0
 
 
 def _probe(counted: DataFrame, value: str, weight: str, groups: Sequence[str], slots: int) -> tuple[dict, Sizes]:
@@ -412,22 +401,23 @@ def look_up(
     weight: str,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``rows`` with a table that has one row per key and a ``weight`` counting its occurrences.
+    """Join of ``rows`` with a table that has one row per key and a ``weight`` counting its occurrences.
 
-    A table of checked small size is broadcast. A larger one joins by shuffle when no key is frequent. Else it is
-    split by its own counts: keys with more than ``hot_rows`` occurrences (few by arithmetic) are broadcast, all others
-    join by shuffle.
+    A table of checked small size, in rows and in bytes where these are known, is broadcast. A larger one joins by shuffle
+    when no key is frequent. Else it is split by its own counts: keys with more than ``hot_rows`` occurrences (few by
+    arithmetic) are broadcast, all others join by shuffle. With ``how="left"`` rows without an entry stay.
     """
     keys = list(keys)
-    if sizes.rows <= broadcast_rows:
-        return rows.join(F.broadcast(table.drop(weight)), keys)
+    if sizes.rows <= broadcast_rows and sizes.bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table.drop(weight)), keys, how)
     if sizes.heaviest <= hot_rows:
-        return rows.join(table.drop(weight), keys)
+        return rows.join(table.drop(weight), keys, how)
     frequent = table.where(ref(weight) > hot_rows)
     hot = F.broadcast(frequent.drop(weight))  # at most occurrences / hot_rows keys
     rest = rows.join(F.broadcast(frequent.select(*refs(keys))), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(rest.join(table.where(ref(weight) <= hot_rows).drop(weight), keys))
+    return rows.join(hot, keys).unionByName(rest.join(table.where(ref(weight) <= hot_rows).drop(weight), keys, how))
 
 
 def average_rank(

@@ -215,6 +215,7 @@ def fit_ridge(train: DataFrame, target: str, alpha: float = DEFAULT_ALPHA, *, dr
 
     Spark scales its penalty by the label's deviation and the row count, hence the conversion of ``alpha``.
     """
+    train = train.where(ref(target).isNotNull())  # scaler, count and deviation are those of the rows that are fitted
     inputs = [c for c in train.columns if c not in {target, *drop}]
     text = string_columns(train.select(*[ref(c) for c in inputs]))
     encoder = OneHot.fit(train, text)
@@ -232,6 +233,6 @@ def fit_ridge(train: DataFrame, target: str, alpha: float = DEFAULT_ALPHA, *, dr
     assemble = VectorAssembler(inputCols=[f"_z{i}" for i in range(len(pieces))], outputCol="features")
     ridge = LinearRegression(
         featuresCol="features", labelCol=target, predictionCol="prediction", elasticNetParam=0.0, standardization=False,
-        regParam=float(alpha) / row["n"] * (row["s"] or 0.0), solver="auto",
+        regParam=float(alpha) / row["n"] * (row["s"] or 0.0), solver="normal",
     )
-    return Pipeline(stages=[prepare, assemble, ridge]).fit(train.where(ref(target).isNotNull()))
+    return Pipeline(stages=[prepare, assemble, ridge]).fit(train)

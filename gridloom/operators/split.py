@@ -68,7 +68,7 @@ def with_validation(
         return df
     train = hold_out(df.where(ref(name) == TRAIN).drop(name), target, fraction, seed=seed, keys=keys, name=name,
                      held=VALIDATION)
-    return train.unionByName(df.where(ref(name) != TRAIN))
+    return train.unionByName(df.where(~F.coalesce(ref(name) == TRAIN, F.lit(False))))  # a missing marker is no train row
 
 
 def fold_sizes(rows: int, folds: int) -> list[int]:
@@ -148,21 +148,24 @@ def allocate_in_groups(
     holds = (F.col("_before") < F.col("_first")) & (F.col("_before") + F.col("_n") >= F.col("_first"))
     holds = holds | ((F.col("_first") == 0) & (F.col("_before") == 0))
     edge = cells.where(holds).select("_g", "_cell", "_size", (F.col("_first") - F.col("_before")).alias("_need"))
+    edge = written(edge, "edges")  # a row per group; the rows of its cell are all that is ordered
+    known = edge.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("w")).first()
+    edge_sizes = Sizes(known["n"], 1, known["w"] or 0)
 
     digests = (
-        rows.withColumn("_cell", F.substring("_head", 1, 4))
+        look_up(rows.withColumn("_cell", F.substring("_head", 1, 4)), edge, ["_g", "_cell"], sizes=edge_sizes, weight="_size",
+                broadcast_rows=broadcast_rows, hot_rows=hot_rows)
         .withColumn("_tail", tail)
-        .groupBy("_g", "_cell", "_head", "_tail")
+        .groupBy("_g", "_cell", "_head", "_tail", "_need")
         .agg(F.count(F.lit(1)).alias("_m"))
-        .join(edge, ["_g", "_cell"])
         .withColumn("_seen", F.coalesce(F.sum("_m").over(by_group.orderBy("_head", "_tail").rowsBetween(*exclusive)), F.lit(0)))
     )
     at_cut = (F.col("_seen") < F.col("_need")) & (F.col("_seen") + F.col("_m") >= F.col("_need"))
     at_cut = at_cut | ((F.col("_need") == 0) & (F.col("_seen") == 0))
     cuts = digests.where(at_cut).select(
-        "_g", F.col("_head").alias("_cut_head"), F.col("_tail").alias("_cut_tail"), "_m", "_size",
+        "_g", F.col("_head").alias("_cut_head"), F.col("_tail").alias("_cut_tail"), "_m",
         (F.col("_need") - F.col("_seen")).alias("_copies"),
-    )
+    ).join(edge.select("_g", "_size"), "_g")
     cuts = written(cuts, "cuts")  # one row per group, read several times below
     found = cuts.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("w")).first()
     sizes = Sizes(found["n"], 1, found["w"] or 0)
@@ -193,8 +196,8 @@ def rank_in_group(
 ) -> DataFrame:
     """1-based position of every row inside its group under a seeded shuffle.
 
-    Digest prefixes cut each group into cells with known offsets. When some cell still holds more than ``hot_rows``
-    rows, equal rows are counted first and written out again after ranking.
+    Digest prefixes cut each group into cells with known offsets. Rows of cells that hold more than ``hot_rows`` rows, and
+    those only, are counted first, ranked in parts by the row's digest, and written out again.
     """
     require_columns(df, [group])
     order = DigestOrder.of(df, seed, keys)
@@ -203,22 +206,30 @@ def rank_in_group(
     keyed = keyed.withColumn("_cell", F.substring("_head", 1, 4))
     cells = keyed.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
-    starts = cells.select("_g", "_cell", F.coalesce(before, F.lit(0)).alias("_start"))
+    starts = cells.select("_g", "_cell", (F.col("_n") > hot_rows).alias("_crowded"), F.coalesce(before, F.lit(0)).alias("_start"))
     largest = cells.agg(F.max("_n").alias("m")).first()["m"] or 0
-    in_cell = Window.partitionBy("_g", "_cell")
+    placed = keyed.join(starts, ["_g", "_cell"])
+    number = F.row_number().over(Window.partitionBy("_g", "_cell").orderBy(F.col("_head"), tail)).cast("long")
+    plain = placed.where(~F.col("_crowded")).withColumn(name, F.col("_start") + number).select(*refs(df.columns), ref(name))
     if largest <= hot_rows:
-        placed = keyed.join(starts, ["_g", "_cell"])
-        number = F.row_number().over(in_cell.orderBy(F.col("_head"), tail)).cast("long")
-        return placed.withColumn(name, F.col("_start") + number).select(*refs(df.columns), ref(name))
+        return plain
+    # A crowded cell holds copies or rows of one key: copies are counted, and what is left goes to parts by the row's digest.
     counted = (
-        df.groupBy(*refs(df.columns)).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_g", _group_key(group)).withColumn("_head", order.head).withColumn("_tail", tail)
-        .withColumn("_cell", F.concat(F.substring("_head", 1, 4)))
+        placed.where("_crowded").withColumn("_tail", tail)
+        .groupBy(*refs(df.columns), "_g", "_cell", "_head", "_tail", "_start").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_part", F.substring("_tail", 1, 4))
     )
-    seen = F.sum("_n").over(in_cell.orderBy("_head", "_tail").rowsBetween(Window.unboundedPreceding, -1))
-    placed = counted.join(starts, ["_g", "_cell"]).withColumn("_first", F.col("_start") + F.coalesce(seen, F.lit(0)))
-    rows = expand_copies(placed.select(*refs(df.columns), "_first", "_n"), "_n", "_i", chunk)
-    return rows.withColumn(name, F.col("_first") + F.col("_i") + 1).select(*refs(df.columns), ref(name))
+    by_part = ["_g", "_cell", "_head", "_part"]
+    earlier = (Window.unboundedPreceding, -1)
+    parts = counted.groupBy(*by_part).agg(F.sum("_n").alias("_size"))
+    passed = F.sum("_size").over(Window.partitionBy("_g", "_cell").orderBy("_head", "_part").rowsBetween(*earlier))
+    parts = parts.withColumn("_passed", F.coalesce(passed, F.lit(0))).drop("_size")
+    seen = F.sum("_n").over(Window.partitionBy(*by_part).orderBy("_tail").rowsBetween(*earlier))
+    first = F.col("_start") + F.col("_passed") + F.coalesce(seen, F.lit(0))
+    numbered = counted.join(parts, by_part).withColumn("_first", first)
+    rows = expand_copies(numbered.select(*refs(df.columns), "_first", "_n"), "_n", "_i", chunk)
+    crowded = rows.withColumn(name, F.col("_first") + F.col("_i") + 1).select(*refs(df.columns), ref(name))
+    return plain.unionByName(crowded)
 
 
 def split_sizes(df: DataFrame, name: str = SPLIT) -> DataFrame:

@@ -29,6 +29,7 @@ from gridloom.sources.scratch import enable_checkpoints
 
 FOREST, BOOSTED = "random_forest", "boosted"
 DEEPEST = 30  # the deepest tree Spark can address
+MAX_BINS = 64  # candidate split values of a feature
 
 # Parameter names accepted for each model and the Spark parameter each one sets.
 FOREST_PARAMS = {
@@ -50,15 +51,15 @@ BOOSTED_DEFAULTS = {"n_estimators": 1000}
 
 
 def forest(seed: int = SEED) -> RandomForestRegressor:
-    """M3: a seeded forest. Trees are grown level by level, so the default depth is bounded; pass ``max_depth``."""
+    """M3: a seeded forest; trees grow to the deepest level Spark can address. Splits are sought among ``MAX_BINS`` values."""
     return RandomForestRegressor(featuresCol="features", predictionCol="prediction", seed=seed, numTrees=100,
-                                 maxDepth=16, featureSubsetStrategy="all", maxBins=64, checkpointInterval=10)
+                                 maxDepth=DEEPEST, featureSubsetStrategy="all", maxBins=MAX_BINS, checkpointInterval=10)
 
 
 def boosted(seed: int = SEED) -> GBTRegressor:
     """M5: seeded boosted trees; depth 5 stands for about 32 leaves."""
     return GBTRegressor(featuresCol="features", predictionCol="prediction", seed=seed, maxIter=100, stepSize=0.1,
-                        maxDepth=5, minInstancesPerNode=20, maxBins=64, checkpointInterval=10)
+                        maxDepth=5, minInstancesPerNode=20, maxBins=MAX_BINS, checkpointInterval=10)
 
 
 def configure(kind: str, params: Mapping[str, Any], seed: int = SEED) -> tuple[Any, dict]:
@@ -71,11 +72,11 @@ def configure(kind: str, params: Mapping[str, Any], seed: int = SEED) -> tuple[A
         if spark_name is None or not estimator.hasParam(spark_name):
             report["dropped"].append(name)
             continue
-        if spark_name == "maxDepth" and not 0 <= int(value) <= DEEPEST:
+        if spark_name == "maxDepth" and (value is None or not 0 <= int(value) <= DEEPEST):  # None: without bound
             value = DEEPEST
             report["clamped"][name] = value
         if spark_name == "featureSubsetStrategy":
-            value = str(float(value))
+            value = {None: "all", "sqrt": "sqrt", "log2": "log2", "auto": "auto"}.get(value) or str(value if isinstance(value, int) else float(value))
         estimator = estimator.copy({estimator.getParam(spark_name): value})
         report["applied"][spark_name] = value
     report["dropped"].sort()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.columns import ref
 from gridloom.operators import attribution, clean, importance, metrics, profile, project, ridge, trees
-from gridloom.operators.clean import ensure_numeric
+from gridloom.operators.clean import NumericCoder, ensure_numeric
 from gridloom.operators.encode import OneHot, encode_on_train
 from gridloom.operators.guards import OverlapError, assert_split_disjoint
 from gridloom.operators.project import feature_columns, infer_target
@@ -30,7 +30,7 @@ from gridloom.operators.split import (
     sample_rows,
     with_validation,
 )
-from gridloom.sources.models import final_stage, load_model, save_model, stored_trees
+from gridloom.sources.models import final_stage, load_coder, load_model, save_coder, save_model, stored_trees
 from gridloom.sources.reports import exists, read_best_params, write_importance, write_mapping, write_report
 from gridloom.sources.splits import part, read_splits, write_splits
 from gridloom.sources.tables import read_csv, read_parquet, write_table
@@ -158,15 +158,15 @@ def importance_scores(train: DataFrame, check: DataFrame, target: str, *, repeat
                       seed: int = SEED, keys: Sequence[str] | None = None, drop: Sequence[str] = (),
                       params: Mapping[str, Any] | None = None) -> DataFrame:
     """M10 with its forest: numeric frames by the type rules fitted on the train rows."""
-    tagged = train.withColumn("_held", F.lit(0)).unionByName(check.withColumn("_held", F.lit(1)))
-    numeric = ensure_numeric(tagged)
     features = [c for c in feature_columns(train, target) if c not in drop]
-    fit_rows = numeric.where(F.col("_held") == 0).select(*[ref(c) for c in features], ref(target))
+    plain = train.select(*[ref(c) for c in features], ref(target))
+    coder = NumericCoder.fit(plain)
+    fit_rows = coder.apply(plain)
     model, _ = trees.fit_trees(fit_rows, target, trees.FOREST, params or {}, seed=seed, features=features)
     fitted = final_stage(model)
     used = fitted.featureImportances.toArray()
     unused = [c for c, v in zip(features, used) if v == 0.0]
-    held = numeric.where(F.col("_held") == 1).drop("_held")
+    held = coder.apply(check.select(*[ref(c) for c in dict.fromkeys([*(keys or []), *features, target])]))
     return importance.permutation_scores(held, target, features, importance.model_score(fitted), repeats=repeats,
                                          seed=seed, keys=keys, unused=unused)
 
@@ -192,7 +192,9 @@ def run_train(spark: SparkSession, parquet: str, params: Mapping[str, str], outp
     texts = [c for c, t in train.dtypes if t == "string" and c in features]
     if texts:  # P17
         LOG.info("converting %d text columns to numbers: %s", len(texts), ", ".join(texts[:10]))
-    numeric = ensure_numeric(train.select(*[ref(c) for c in features], ref(target)))
+    plain = train.select(*[ref(c) for c in features], ref(target))
+    coder = NumericCoder.fit(plain)
+    numeric = coder.apply(plain)
     rows = train.count()
     results: dict[str, Trained] = {}
     for kind in resolve_models(models):
@@ -201,6 +203,7 @@ def run_train(spark: SparkSession, parquet: str, params: Mapping[str, str], outp
         chosen = read_best_params(spark, params[kind])
         model, applied = trees.fit_trees(numeric, target, kind, chosen, seed=seed, features=features)
         path = save_model(model, outputs[kind])
+        save_coder(spark, coder, path)
         report = {
             "model_path": path, "parquet_path": parquet, "params_path": params[kind], "target_column": target,
             "random_state": seed, "training_rows": rows, "best_params": chosen, "parameters": applied,
@@ -254,7 +257,12 @@ def evaluate_model(spark: SparkSession, parquet: str, model_path: str, *, target
     feature_columns(test, target)
     model = load_model(model_path)
     is_tree = hasattr(final_stage(model), "treeWeights")
-    rows = (ensure_numeric(test) if is_tree else test).persist()  # scored, measured twice, attributed
+    coder = load_coder(spark, model_path) if is_tree else None
+    if coder is not None:
+        test = coder.apply(test)
+    elif is_tree:  # a model stored without rules was fitted on numbers
+        test = ensure_numeric(test)
+    rows = test.persist()  # scored, measured twice, attributed
     try:
         scored = trees.score(model, rows).select(ref(target), "prediction").persist()
         report = metrics.regression_metrics(scored, target).first().asDict()

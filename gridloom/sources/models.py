@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
 from gridloom.operators.attribution import tree_nodes
+from gridloom.operators.clean import NumericCoder
+from gridloom.operators.order import Sizes
+from gridloom.sources.reports import exists, read_report, write_report
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -20,6 +26,29 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def save_coder(spark: SparkSession, coder: NumericCoder, model_path: str) -> None:
+    """The numeric rules of a model, stored beside it: a report and the code table."""
+    sizes = None if coder.sizes is None else asdict(coder.sizes)
+    write_report(spark, {"parsed": coder.parsed, "coded": coder.coded, "unseen": coder.unseen, "sizes": sizes}, f"{_beside(model_path)}.json")
+    if coder.codes is not None:
+        coder.codes.write.mode("overwrite").parquet(f"{_beside(model_path)}.parquet")
+
+
+def load_coder(spark: SparkSession, model_path: str) -> NumericCoder | None:
+    """The rules stored beside a model, or nothing."""
+    path = f"{_beside(model_path)}.json"
+    if not exists(spark, path):
+        return None
+    rules = read_report(spark, path)
+    codes = spark.read.parquet(f"{_beside(model_path)}.parquet") if rules["coded"] else None
+    sizes = None if rules["sizes"] is None else Sizes(**rules["sizes"])
+    return NumericCoder(tuple(rules["parsed"]), tuple(rules["coded"]), codes, sizes, rules["unseen"])
+
+
+def _beside(model_path: str) -> str:
+    return f"{model_path.rstrip('/')}_coder"
+
+
 def final_stage(model: PipelineModel):
     return model.stages[-1]
 

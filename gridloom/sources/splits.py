@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import ref
-from gridloom.operators.clean import ensure_numeric
+from gridloom.operators.clean import NumericCoder, ensure_numeric
 from gridloom.operators.encode import OneHot
 from gridloom.operators.project import feature_columns
 from gridloom.operators.split import SEED, SPLIT, TEST, TRAIN, VALIDATION, with_validation
+from gridloom.sources.reports import exists
 from gridloom.sources.tables import write_csv
 
 MARKERS = (TRAIN, VALIDATION, TEST)
@@ -32,10 +32,9 @@ def write_splits(df: DataFrame, parquet: str, text: str | None = None) -> None:
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
     """The marked frame; a missing dataset or marker column is an error."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"no split dataset at {path}") from exc
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no split dataset at {path}")
+    df = spark.read.parquet(path)
     if SPLIT not in df.columns:
         raise KeyError(f"no {SPLIT!r} column in {path}")
     return df
@@ -48,7 +47,7 @@ def part(df: DataFrame, marker: str) -> DataFrame:
 
 def parts(df: DataFrame) -> dict[str, DataFrame]:
     """Train and test, and validation when the frame has any such row."""
-    present = {r[SPLIT] for r in df.select(SPLIT).distinct().collect()} & set(MARKERS)
+    present = {r[SPLIT] for r in df.where(ref(SPLIT).isin(*MARKERS)).select(SPLIT).distinct().collect()}  # three at most
     wanted = [m for m in MARKERS if m != VALIDATION or m in present]
     return {m: part(df, m) for m in wanted}
 
@@ -70,7 +69,7 @@ def numeric_train(df: DataFrame, target: str) -> DataFrame:
 
 def numeric_train_validation(df: DataFrame, target: str, *, seed: object = SEED, keys: Sequence[str] | None = None
                              ) -> DataFrame:
-    """Train and validation rows in one numeric frame with the marker; encoders see train rows only.
+    """Train and validation rows in one numeric frame with the marker; encoders and type rules see train rows only.
 
     Validation rows are taken from the train rows when the dataset has none.
     """
@@ -78,7 +77,6 @@ def numeric_train_validation(df: DataFrame, target: str, *, seed: object = SEED,
     both = full.where(ref(SPLIT).isin(TRAIN, VALIDATION))
     train = part(both, TRAIN)
     encoder = OneHot.fit(train.select(*[ref(c) for c in feature_columns(train, target)]))
-    numeric = ensure_numeric(encoder.apply(both.withColumnRenamed(SPLIT, "_split_code").withColumn(
-        "_split_code", (F.col("_split_code") == VALIDATION).cast("int"))))
-    marker = F.when(F.col("_split_code") == 1, F.lit(VALIDATION)).otherwise(F.lit(TRAIN))
-    return numeric.withColumn(SPLIT, marker).drop("_split_code")
+    coder = NumericCoder.fit(encoder.apply(train))
+    made = [coder.apply(encoder.apply(part(both, m))).withColumn(SPLIT, F.lit(m)) for m in (TRAIN, VALIDATION)]
+    return made[0].unionByName(made[1])
