@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import quoted, ref, refs, stacked, string_columns, text_literal
-from gridloom.operators.clean import MISSING_CATEGORY
-from gridloom.operators.order import dense_codes
+from gridloom.operators.clean import MISSING_CATEGORY, apply_codes, category_codes
+from gridloom.operators.order import Sizes, dense_codes
 
-MAX_CATEGORIES = 10_000  # one-hot columns a table may get; a wider vocabulary is an error, never cut
+MAX_CATEGORIES = 10_000  # one-hot columns of a table; a wider vocabulary is an error here and goes to ``SparseOneHot``
 _EPS = 2.220446049250313e-16
 
 ENCODING_SCHEMA = "column string, category string, ordinal int, encoded_value string"
@@ -113,6 +113,41 @@ def encode_whole(df: DataFrame) -> tuple[DataFrame, OneHot]:
     return encoder.apply(df), encoder
 
 
+@dataclass(frozen=True)
+class SparseOneHot:
+    """One-hot blocks of any width as lists of the places that hold a one; the code table stays distributed."""
+
+    columns: tuple[str, ...]
+    offsets: Mapping[str, int]
+    width: int
+    codes: DataFrame | None
+    sizes: Sizes | None
+
+    @staticmethod
+    def fit(df: DataFrame, columns: Iterable[str] | None = None) -> SparseOneHot:
+        """E1 beyond ``MAX_CATEGORIES``: sorted categories per column, the first one being the baseline without a place."""
+        names = tuple(string_columns(df) if columns is None else [c for c in columns if c in df.columns])
+        if not names:
+            return SparseOneHot((), {}, 0, None, None)
+        codes, sizes = category_codes(df, names)
+        counted = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
+        offsets, width = {}, 0
+        for c in names:
+            offsets[c] = width
+            width += max(0, counted.get(c, 0) - 1)
+        return SparseOneHot(names, offsets, width, codes, sizes)
+
+    def apply(self, df: DataFrame, name: str = "active") -> DataFrame:
+        """The columns replaced by ``name``, the ascending places of the ones; unseen values and baselines have none."""
+        present = [c for c in self.columns if c in df.columns]
+        kept = [c for c in df.columns if c not in present]
+        if not present:
+            return df.withColumn(name, F.array().cast("array<int>"))
+        coded = apply_codes(df, present, self.codes, self.sizes)
+        places = [F.when(ref(c) >= 1, ref(c) - 1 + F.lit(self.offsets[c])) for c in present]
+        return coded.select(*refs(kept), F.array_compact(F.array(*places)).alias(name))
+
+
 def fold_vocabularies(df: DataFrame, columns: Sequence[str], *, folds: int, fold: str = "fold") -> DataFrame:
     """M7: ``(fold, column, category, ordinal)``: what an encoder fitted outside each fold would know.
 

@@ -170,6 +170,19 @@ def ensure_numeric(spark, folder):
     return clean.ensure_numeric(df)
 
 
+@query("""WITH fitted AS (SELECT DISTINCT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS code FROM part WHERE p_type <> 'PROMO'),
+          names AS (SELECT DISTINCT p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS code FROM part WHERE p_type <> 'PROMO')
+          SELECT p_partkey, way, CAST(coalesce(f.code, -1) AS INTEGER) AS p_type, CAST(coalesce(n.code, -1) AS INTEGER) AS p_name
+          FROM part LEFT JOIN fitted f USING (p_type) LEFT JOIN names n USING (p_name), (VALUES ('broadcast'), ('shuffle')) w(way)""")
+def codes_on_unseen(spark, folder):
+    """Codes fitted without one type, applied to all rows by both ways of joining."""
+    df = table(spark, folder, "part").select("p_partkey", "p_type", "p_name")
+    coder = clean.NumericCoder.fit(df.where("p_type <> 'PROMO'"))
+    ways = [("broadcast", {}), ("shuffle", {"broadcast_rows": 0, "hot_rows": 20})]
+    made = [coder.apply(df, **sizes).withColumn("way", F.lit(way)) for way, sizes in ways]
+    return made[0].unionByName(made[1])
+
+
 @query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem")
 def select_numeric(spark, folder):
     """P10."""

@@ -42,6 +42,19 @@ def iqr_outliers(spark, folder):
     return profile.extreme_outliers(_event_numbers(spark, folder))
 
 
+_STEEP = " * ".join(["(l_extendedprice / 100000.0)"] * 8)
+
+
+@query(_outlier_sql("lineitem", _LINE_NUMBERS, {"l_extendedprice": f"CAST(l_quantity > 0 AS INTEGER) * {_STEEP}"}))
+def iqr_outliers_steep(spark, folder):
+    """A7 on the largest table, with a column that has outliers."""
+    p = (F.col("l_quantity") > 0).cast("int")
+    for _ in range(8):
+        p = p * (F.col("l_extendedprice") / 100000.0)
+    df = table(spark, folder, "lineitem").select("l_quantity", p.alias("l_extendedprice"), "l_discount", "l_tax")
+    return profile.extreme_outliers(df)
+
+
 @query(_outlier_sql("lineitem", _LINE_NUMBERS, {"l_extendedprice": "l_extendedprice * l_extendedprice * l_extendedprice"}))
 def iqr_outliers_lineitem(spark, folder):
     """A7 on the largest table."""

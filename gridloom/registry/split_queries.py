@@ -33,6 +33,28 @@ def shuffle_rank(spark, folder):
     return split.shuffled(table(spark, folder, "lineitem").select(*_LINE_KEYS), keys=_LINE_KEYS)
 
 
+_HOT_ROWS = 50
+
+
+@query(f"""SELECT l_suppkey, CAST(count(*) AS BIGINT) AS n_rows, min(position) AS first, max(position) AS last FROM (
+             SELECT l_suppkey, row_number() OVER (ORDER BY {digest_sql('l_suppkey')}) AS position FROM lineitem) GROUP BY 1""")
+def shuffle_rank_repeated(spark, folder):
+    """Q1, W3 by a key that many rows share: whole key groups stand together at known positions."""
+    ranked = order.global_rank(table(spark, folder, "lineitem").select(*_LINE_KEYS), "position", seed=split.SEED, keys=["l_suppkey"], hot_rows=_HOT_ROWS)
+    return ranked.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_rows"), F.min("position").alias("first"), F.max("position").alias("last"))
+
+
+@query(f"""SELECT l_returnflag, l_suppkey, CAST(count(*) AS BIGINT) AS n_rows, min(position) AS first, max(position) AS last FROM (
+             SELECT l_returnflag, l_suppkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY {digest_sql('l_suppkey')}) AS position
+             FROM lineitem) GROUP BY 1, 2""")
+def rank_in_group_repeated(spark, folder):
+    """W4 by a key that many rows of a group share."""
+    df = table(spark, folder, "lineitem").select("l_returnflag", *_LINE_KEYS)
+    ranked = split.rank_in_group(df, "l_returnflag", keys=["l_suppkey"], hot_rows=_HOT_ROWS)
+    return ranked.groupBy("l_returnflag", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("position").alias("first"), F.max("position").alias("last"))
+
+
 @query(f"""WITH {ORDERS_SQL}, {split_sql()} SELECT o_orderkey, o_totalprice, split FROM marked""")
 def holdout_split(spark, folder):
     """Q2, U5."""
@@ -82,6 +104,32 @@ def validation_split(spark, folder):
     return split.with_validation(marked, TARGET, keys=KEY).select("o_orderkey", "split")
 
 
+@query(f"""WITH marked AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'train' WHEN o_orderstatus = 'O' THEN 'test' END AS split
+                           FROM orders),
+           held AS (SELECT o_orderkey, CASE WHEN {position_sql('o_orderkey')} <= round_even(0.2 * count(*) OVER (), 0)
+                           THEN 'val' ELSE 'train' END AS split FROM marked WHERE split = 'train')
+           SELECT o_orderkey, split FROM held UNION ALL SELECT o_orderkey, split FROM marked WHERE split IS DISTINCT FROM 'train'""")
+def validation_split_unmarked(spark, folder):
+    """Q3 with rows that carry no marker: they stay."""
+    status = F.col("o_orderstatus")
+    marked = table(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.when(status == "F", "train").when(status == "O", "test").alias("split"))
+    return split.with_validation(marked, TARGET, keys=KEY).select("o_orderkey", "split")
+
+
+@query("""WITH codes AS (SELECT c_name, dense_rank() OVER (ORDER BY c_name) - 1 AS code FROM customer WHERE c_custkey % 3 > 0),
+          kinds AS (SELECT DISTINCT c_mktsegment, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code FROM customer WHERE c_custkey % 3 > 0),
+          width AS (SELECT count(*) - 1 AS w FROM codes)
+          SELECT c_custkey, array_to_string(list_filter([CASE WHEN n.code >= 1 THEN n.code - 1 END, CASE WHEN k.code >= 1 THEN k.code - 1 + w END],
+                                                        lambda x: x IS NOT NULL), ',') AS active
+          FROM customer LEFT JOIN codes n USING (c_name) LEFT JOIN kinds k USING (c_mktsegment), width""")
+def onehot_sparse(spark, folder):
+    """E1 with a wide vocabulary: fitted on two thirds of the customers, applied to all, names of the others being unseen."""
+    df = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    encoder = encode.SparseOneHot.fit(df.where("c_custkey % 3 > 0"))
+    return encoder.apply(df).select("c_custkey", F.array_join("active", ",").alias("active"))
+
+
 @query(f"""WITH {folds_sql('orders')} SELECT o_orderkey, fold FROM folded""")
 def kfold_assign(spark, folder):
     """Q4."""

@@ -67,6 +67,15 @@ def test_category_codes_by_join_equal_codes_by_map(spark):
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
     test = spark.createDataFrame([(1, "new"), (2, "hot")], "id long, c string")
     assert [r["c"] for r in clean.apply_codes(test, ["c"], codes, sizes).orderBy("id").collect()] == [-1, 40]
+    by_shuffle = clean.apply_codes(test, ["c"], codes, Sizes(20_000, 41, 300), broadcast_rows=10, hot_rows=100)
+    assert [r["c"] for r in by_shuffle.orderBy("id").collect()] == [-1, 40]
+
+
+def test_rules_fitted_on_train_hold_for_other_rows(spark):
+    train = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None)], "t string, n string")
+    test = spark.createDataFrame([("c", "x"), ("b", "7"), ("new", None)], "t string, n string")
+    coder = clean.NumericCoder.fit(train)
+    assert [tuple(r) for r in coder.apply(test).collect()] == [(2, None), (1, 7.0), (-1, None)]
 
 
 def test_target_roles(spark):

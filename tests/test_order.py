@@ -52,6 +52,43 @@ def test_rank_is_a_permutation_in_digest_order(spark, keys, hot_rows):
         assert digests == sorted(digests)
 
 
+@pytest.mark.parametrize("rows", [
+    [(i // 20, i) for i in range(40_000)],  # 2,000 keys of 20 rows
+    [(0, i) for i in range(4000)],  # one key
+    [(0, 0)] * 4000,  # copies only
+    [(i % 20, i % 40) for i in range(8000)],
+])
+def test_rank_with_many_hot_digests(spark, rows):
+    df = spark.createDataFrame(rows, "k long, p long").repartition(8)
+    for keys in (["k"], None):
+        out = global_rank(df, "r", seed=9, keys=keys, bucket_rows=200, hot_rows=10, chunk=300).orderBy("r").collect()
+        assert [r["r"] for r in out] == list(range(1, len(rows) + 1))
+        assert Counter((r["k"], r["p"]) for r in out) == Counter(rows)
+        if keys:
+            digests = [md5(f"9|{r['k']}") for r in out]
+            assert digests == sorted(digests)
+
+
+def test_expanded_copies_are_spread(spark):
+    counted = spark.range(20_000).withColumn("n", F.lit(1).cast("long"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in expand_copies(counted, "n", "i").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 20_000 and max(sizes) < 5000
+
+
+@pytest.mark.parametrize("rows", [[(i % 2, 0, i) for i in range(4000)], [(0, 0, 0)] * 3000 + [(0, i, i) for i in range(500)]])
+def test_rank_in_group_with_a_repeated_key(spark, rows):
+    df = spark.createDataFrame(rows, "g long, k long, p long").repartition(5)
+    out = split.rank_in_group(df, "g", seed=4, keys=["k"], hot_rows=50, chunk=200).collect()
+    assert Counter((r["g"], r["k"], r["p"]) for r in out) == Counter(rows)
+    for g in {r[0] for r in rows}:
+        mine = sorted((r["position"], md5(f"4|{r['k']}")) for r in out if r["g"] == g)
+        assert [p for p, _ in mine] == list(range(1, len(mine) + 1)) and [d for _, d in mine] == sorted(d for _, d in mine)
+
+
 def test_rank_does_not_depend_on_partitions_or_hot_handling(spark):
     df = skewed(spark)
     variants = [
