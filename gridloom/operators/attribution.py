@@ -14,7 +14,7 @@ from gridloom.functions.columns import ref, refs
 # Features listed in a report.
 DISPLAYED = 20
 
-CHUNK_NODES = 2_000_000  # tree nodes shipped to the workers at a time
+CHUNK_NODES = 2_000_000  # tree nodes whose paths are shipped to the workers at a time
 
 
 def tree_nodes(spark: SparkSession, path: str, model: Any) -> tuple[list[dict[str, np.ndarray]], np.ndarray]:
@@ -104,7 +104,7 @@ def tree_attributions(
     """``(keys..., values)`` with one contribution per feature, and the base value.
 
     Path-dependent Shapley values; they sum to the prediction minus the base value. Rows stream through Arrow
-    batches. Trees go out in chunks of bounded size, each adding to the values, so model size is no limit.
+    batches. The leaf paths go out in chunks of bounded size, each adding to the values, so model size is no limit.
     """
     context = df.sparkSession.sparkContext
     columns = [*refs(keys), *[ref(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)]]
@@ -114,7 +114,7 @@ def tree_attributions(
 
     def adding(shared):
         def run(batches):
-            paths = [p for tree, w in shared.value for p in leaf_paths(tree, w)]
+            paths = shared.value
             for batch in batches:
                 if len(batch):
                     x = batch[inputs].to_numpy(dtype=float)
@@ -123,17 +123,16 @@ def tree_attributions(
                 yield batch
         return run
 
-    base, chunk, size = 0.0, [], 0
-    chunks = []
+    base, chunks, size = 0.0, [[]], 0
     for tree, w in zip(trees, weights):
-        base += expected_value(leaf_paths(tree, float(w)))
-        if chunk and size + len(tree["prediction"]) > chunk_nodes:
-            chunks.append(chunk)
-            chunk, size = [], 0
-        chunk.append((tree, float(w)))
+        paths = leaf_paths(tree, float(w))  # once, here: tasks get the paths
+        base += expected_value(paths)
+        if chunks[-1] and size + len(tree["prediction"]) > chunk_nodes:
+            chunks.append([])
+            size = 0
+        chunks[-1].extend(paths)
         size += len(tree["prediction"])
-    if chunk:
-        chunks.append(chunk)
+    chunks = [c for c in chunks if c]
     for chunk in chunks:
         rows = rows.mapInPandas(adding(context.broadcast(chunk)), schema)  # at most chunk_nodes nodes
     return rows.select(*refs(keys), "values"), base
