@@ -11,6 +11,7 @@ hot, and a repeated task makes the same sequences again.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridloom.llm.common import WordCache, map_arrow, slices, without_marks
+from gridloom.llm.common import map_arrow, slices, without_marks
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Tokens of a sequence.
@@ -33,36 +34,55 @@ LENGTH = 4096
 END_ID = 2
 #: Tokens a task gathers before it packs them: the padding of a block is less than one sequence.
 BLOCK_TOKENS = 2048 * LENGTH
-#: Distinct words a worker keeps.
+#: Distinct words a worker keeps before it starts anew.
 CACHED = 700_000
 #: Sequence ids of a task begin at its number times this.
 _TASK_IDS = 1 << 36
+_BIG_ENDIAN = sys.byteorder == "big"
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 
 
 @lru_cache(maxsize=4)
-def _cache(path: str) -> WordCache:
+def _words(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
+    """The tokenizer, and ids by word; the worker keeps both."""
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    return tokenizer, {}
 
-    def compute(word: str) -> bytes:
-        if not word:
-            return b""
-        core = without_marks(word)
-        if core != word:
-            return cache[core] + cache[word[len(core):]]
-        if max(word) < "\u0100" and word != word.lower():  # the tokenizer is blind to case
-            return cache[word.lower()]
-        ids = array("I", tokenizer.encode(word, add_special_tokens=False).ids)
-        return np.array(ids, "<u4").tobytes()
 
-    cache = WordCache(compute, CACHED)
-    return cache
+def _lowered(text: str) -> str:
+    """The text in lower case where that is the tokenizer's own (it is blind to case): with Latin letters only."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+def encoded_texts(texts: list[str], path: str = TOKENIZER) -> list[bytes]:
+    """Ids of texts as little-endian 32-bit numbers.
+
+    The tokenizer drops white space, so words are looked up one by one; those not seen before are encoded together.
+    """
+    tokenizer, known = _words(path)
+    split = [_lowered(text.replace("\n", " ")).split(" ") for text in texts]
+    if len(known) > CACHED:
+        known.clear()
+    known[""] = b""
+    new = [word for word in set().union(*split) if word not in known]
+    cores = [without_marks(word) for word in new]
+    parts = [part for part in {part for word, core in zip(new, cores) for part in (core, word[len(core) :])} if part not in known]
+    for part, encoding in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+        known[part] = np.array(encoding.ids, "<u4").tobytes() if _BIG_ENDIAN else array("I", encoding.ids).tobytes()
+    for word, core in zip(new, cores):
+        if len(core) < len(word):
+            known[word] = known[core] + known[word[len(core) :]]
+    return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def word_ids(text: str, path: str = TOKENIZER) -> bytes:
-    """Ids of a text as little-endian 32-bit numbers. The tokenizer drops white space, so words are looked up one by one."""
-    return b"".join(map(_cache(path).__getitem__, text.replace("\n", " ").split(" ")))
+    """Ids of one text."""
+    return encoded_texts([text], path)[0]
 
 
 def piece_cost(tokens: int, length: int = LENGTH) -> float:
@@ -131,8 +151,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, block, held = TaskContext.get().partitionId() * _TASK_IDS, [], 0
         for batch in slices(batches, 1):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = word_ids(text, path) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encoded_texts(batch.column(1).to_pylist(), path)):
+                ids += end
                 block.append((doc, ids))
                 held += len(ids) // 4
                 if held >= block_tokens:
