@@ -34,8 +34,8 @@ LENGTH = 4096
 END_ID = 2
 #: Tokens a task gathers before it packs them: the padding of a block is less than one sequence.
 BLOCK_TOKENS = 2048 * LENGTH
-#: Distinct words a worker keeps before it starts anew.
-CACHED = 700_000
+#: Distinct words a worker keeps before it forgets those it met once.
+CACHED = 300_000
 #: Sequence ids of a task begin at its number times this.
 _TASK_IDS = 1 << 36
 _BIG_ENDIAN = sys.byteorder == "big"
@@ -66,10 +66,13 @@ def encoded_texts(texts: list[str], path: str = TOKENIZER) -> list[bytes]:
     """
     tokenizer, known = _words(path)
     split = [_lowered(text.replace("\n", " ")).split(" ") for text in texts]
-    if len(known) > CACHED:
+    words = set().union(*split)
+    if len(known) > CACHED:  # words met again are worth keeping, most others never come back
+        again = {word: known[word] for word in words if word in known}
         known.clear()
+        known.update(again)
     known[""] = b""
-    new = [word for word in set().union(*split) if word not in known]
+    new = [word for word in words if word not in known]
     cores = [without_marks(word) for word in new]
     parts = [part for part in {part for word, core in zip(new, cores) for part in (core, word[len(core) :])} if part not in known]
     for part, encoding in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):

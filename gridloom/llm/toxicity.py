@@ -31,6 +31,8 @@ SAMPLE = 20_000
 FEATURES, LEAST_DOCUMENTS = 512, 3
 #: A feature has to be so many times as frequent in toxic documents as in others.
 LEAST_RATIO = 4.0
+#: Counts a task holds before it hands them on.
+HELD_COUNTS = 150_000
 #: Letters of a piece of a word, marks for its start and end included.
 PIECE = 5
 #: Steps, step size and penalty of the fit.
@@ -105,14 +107,20 @@ def choose_features(sample: DataFrame, most: int = FEATURES, least: int = LEAST_
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter(), Counter()
+
+        def counted() -> pa.RecordBatch:
+            names = list(counts[0].keys() | counts[1].keys())
+            batch = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts[::-1])], ["feature", "toxic", "clean"])
+            for c in counts:
+                c.clear()
+            return batch
+
         for batch in slices(batches, 0):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[1 if label else 0].update(features_of(set(_WORD.findall(text.lower()))))
-        names = list(counts[1])  # what no toxic document has is no candidate here; its other counts follow
-        names += [n for n in counts[0] if n not in counts[1]]
-        for i in range(0, len(names), 50_000):
-            part = names[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array([c[n] for n in part], pa.int64()) for c in counts[::-1])], ["feature", "toxic", "clean"])
+                if len(counts[0]) + len(counts[1]) > HELD_COUNTS:
+                    yield counted()
+        yield counted()
 
     counted = map_arrow(sample, count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n_toxic, n_all = sample.agg(F.sum((F.col("label") > 0).cast("int")), F.count("*")).first()
@@ -177,26 +185,31 @@ def train_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features:
     return theta[:-1], float(theta[-1])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), threshold: float = 0.5) -> DataFrame:
-    """``id_col, score, predicted, offending`` and the columns named in ``keep``, a row per row, without a shuffle.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
+    """``id_col, score, predicted, offending`` and the columns named in ``keep``, with ``keep_text`` the text as it came, a row per
+    row, without a shuffle.
 
     ``offending`` lists start, end and score of the sentences that score ``threshold`` or more. A null or empty text scores
     the leak. Ids, null or repeated, come back as they are; columns not named are dropped.
     """
     kept = [F.struct(*keep).alias("_kept")] if keep else []
-    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *kept)
+    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *kept)
+    more = (["_text"] if keep_text else []) + (["_kept"] if keep else [])
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for batch in slices(batches, 1):
-            scores, spans = zip(*map(scorer.document, batch.column(1).to_pylist()))
+            scores, spans = zip(*(scorer.document(text or "") for text in batch.column(1).to_pylist()))
             columns = [
                 batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
                 pa.array([[{"start": a, "end": b, "score": s} for a, b, s in found if s >= threshold] for found in spans], pa.list_(span)),
             ]
-            yield pa.RecordBatch.from_arrays(columns + ([batch.column(2)] if keep else []), ["_id", "score", "predicted", "offending"] + (["_kept"] if keep else []))
+            columns += [batch.column(batch.schema.get_field_index(c)) for c in more]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "score", "predicted", "offending", *more])
 
     schema = "_id long, score double, predicted int, offending array<struct<start:int,end:int,score:double>>"
-    schema += f", _kept {source.schema['_kept'].dataType.simpleString()}" if keep else ""
-    return map_arrow(source, run, schema).select(F.col("_id").alias(id_col), "score", "predicted", "offending", *(["_kept.*"] if keep else []))
+    schema += "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in more)
+    return map_arrow(source, run, schema).select(
+        F.col("_id").alias(id_col), "score", "predicted", "offending", *([F.col("_text").alias(text_col)] if keep_text else []), *(["_kept.*"] if keep else []),
+    )
