@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
-import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -44,10 +43,6 @@ def crc_fold(id_col: Column, folds: int = 5) -> Column:
     return F.crc32(id_col.cast("string")) % folds
 
 
-def crc_of(number: int) -> int:
-    return zlib.crc32(str(number).encode())
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds few bytes of text (or one row)."""
     for batch in batches:
