@@ -5,8 +5,9 @@ words is an anchor when the least hash among its runs of ``S`` words is that of
 on the run alone, so the same passage has the same anchors wherever it stands. Texts are padded by ``K - 1`` marks on both sides,
 so the shortest has anchors, too.
 
-A fingerprint is the ``SIZE`` least distinct anchors of the whole text; the likeness of two is the share of common anchors
-among the least of both together, an estimate of the Jaccard similarity of all anchors.
+A fingerprint holds every anchor of the whole text with its place. Of any ``K - S`` runs that follow each other one is an anchor, so
+anchors overlap and leave out no word. The likeness of two texts is the share of their words that lie in anchors of both, where
+the anchors are matched one to one by hash and place; see ``likeness``.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql.window import Window
 from gridloom.llm.common import SPACE, given_id, identified
 
 K, S = 5, 2
-#: Anchors kept in a fingerprint.
-SIZE = 64
+#: Added to the places of the second of two texts, so that those of the first come before them.
+_SECOND = 1 << 32
 #: Documents in one range of ids, and the most ranges.
 RANGE_ROWS, MOST_RANGES = 4000, 100_000
 _PART = 256
@@ -55,27 +56,75 @@ def _anchor_hash(i: Column, g: Column, k: int, s: int) -> Column:
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """All anchors with their places, ``array<struct<position, hash>>``, for matching passages by position.
+    """The fingerprint of a text that is not null: all anchors with their places, ``array<struct<position, hash>>``, in order.
 
     The position is that of the first word; it is negative where the anchor begins in the padding.
     """
     return _anchored(text, lambda i, g: F.struct((i - (k - 1)).alias("position"), _anchor_hash(i, g, k, s).alias("hash")), k, s)
 
 
-def fingerprint(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The least distinct anchors of a text that is not null, ascending."""
-    return F.slice(F.array_sort(F.array_distinct(_anchored(text, lambda i, g: _anchor_hash(i, g, k, s), k, s))), 1, size)
+def as_text(prints: Column) -> Column:
+    """A fingerprint as words ``position:hash``, the hash in hexadecimal digits."""
+    return F.lower(F.array_join(F.transform(prints, lambda x: F.concat(x["position"].cast("string"), F.lit(":"), F.hex(x["hash"]))), " "))
 
 
-def as_text(prints: Column) -> Column:
-    """A fingerprint as hexadecimal digits, sixteen per anchor."""
-    return F.array_join(F.transform(prints, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+def _pairs(a: Column, b: Column) -> Column:
+    """``array<struct<x, y>>``: the places of the first, second, ... occurrence of an anchor in one text and in the other.
+
+    Sorted by hash, then text, then place; equal hashes are a run, of which only the own members are looked at.
+    """
+    first = F.transform(a, lambda x: F.struct(x["hash"].alias("hash"), x["position"].cast("long").alias("place")))
+    second = F.transform(b, lambda x: F.struct(x["hash"].alias("hash"), (x["position"] + F.lit(_SECOND)).alias("place")))
+
+    def runs(m: Column) -> Column:
+        starts = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (F.get(m, i - 1)["hash"] != x["hash"]), i)), lambda i: i.isNotNull())
+        return _bind(starts, lambda begin: F.flatten(F.transform(begin, lambda i, j: matched(m, i, F.coalesce(F.get(begin, j + 1), F.size(m))))))
+
+    def matched(m: Column, start: Column, end: Column) -> Column:
+        least = F.lit(_SECOND // 2)
+        both = (F.get(m, start)["place"] < least) & (F.get(m, end - 1)["place"] >= least)
+
+        def zipped(places: Column) -> Column:
+            def seconds(n: Column) -> Column:  # n are of the first text
+                mine = F.slice(places, F.lit(1), F.least(n, F.size(places) - n))
+                return F.transform(mine, lambda x, i: F.struct(x["place"].alias("x"), (F.get(places, n + i)["place"] - F.lit(_SECOND)).alias("y")))
+
+            return _bind(F.size(F.filter(places, lambda x: x["place"] < least)), seconds)
+
+        none = F.array().cast("array<struct<x:bigint,y:bigint>>")
+        return F.when(both, _bind(F.slice(m, start + 1, end - start), zipped)).otherwise(none)
+
+    return _bind(F.sort_array(F.concat(first, second)), runs)
+
+
+def _covered(pairs: Column, k: int) -> Column:
+    """Words from ``x`` on that pairs cover, up to the next pair; none where the next goes back in ``y``."""
+
+    def step(m: Column, x: Column, i: Column) -> Column:
+        after = F.get(m, i + 1)
+        return F.when(after.isNull(), k).when(after["y"] > x["y"], F.least(F.lit(k), after["x"] - x["x"])).otherwise(0).cast("long")
+
+    return _bind(F.sort_array(pairs), lambda m: F.aggregate(F.transform(m, lambda x, i: step(m, x, i)), F.lit(0).cast("long"), lambda total, n: total + n))
+
+
+def _span(a: Column, k: int) -> Column:
+    return F.element_at(a, -1)["position"] - F.element_at(a, 1)["position"] + k
+
+
+def likeness(a: Column, b: Column, k: int = K) -> Column:
+    """Share of the words of two texts, given by all their anchors, that lie in anchors of both; 0 to 1, the same either way.
+
+    The n-th occurrence of an anchor in one text is matched with the n-th in the other. An anchor stands for its words up to the
+    next matched one, unless that comes earlier in the other text. So texts of the same words in the same order have the
+    likeness one, one changed word takes off what its anchors cover alone, and a passage that moved counts but for its ends.
+    """
+    hashes = [F.transform(x, lambda y: y["hash"]) for x in (a, b)]
 
+    def share(pairs: Column) -> Column:
+        turned = F.transform(pairs, lambda x: F.struct(x["y"].alias("x"), x["x"].alias("y")))
+        return (_covered(pairs, k) + _covered(turned, k)) / (_span(a, k) + _span(b, k))
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Share of common anchors among the ``size`` least of two fingerprints together; 0 to 1."""
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    return F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
+    return F.when(F.arrays_overlap(*hashes), _bind(_pairs(a, b), share)).otherwise(F.lit(0.0))
 
 
 def _range_of(bounds: list[int], value: Column) -> Column:
@@ -111,7 +160,7 @@ def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return placed.select("_id", "_text", "place.*")
 
 
-def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, size: int = SIZE, range_rows: int = RANGE_ROWS) -> DataFrame:
+def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``id_col, n_chars, edited, prints, edited_prints, near_edited, near_next`` of every row.
 
     The edited text has the last quarter of its characters (rounded down) replaced by the first as many of the next document, or
@@ -121,16 +170,16 @@ def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     ranged = with_next(identified(df, id_col, text_col), range_rows)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = ranged.repartition(parts, "_range").withColumn("prints", fingerprint(F.col("_text"), k, s, size))
+    dealt = ranged.repartition(parts, "_range").withColumn("prints", anchors(F.col("_text"), k, s))
     follows = Window.partitionBy("_range").orderBy("_guest", "_id", "_text")
     paired = dealt.select("*", F.lead("_text").over(follows).alias("_next"), F.lead("prints").over(follows).alias("_next_prints")).where("not _guest")
     n = F.char_length("_text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("_text"), F.lit(1), n - cut), F.substring(F.col("_next"), F.lit(1), cut))
-    compared = paired.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).withColumn("edited_prints", fingerprint(F.col("edited"), k, s, size))
+    compared = paired.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).withColumn("edited_prints", anchors(F.col("edited"), k, s))
     return compared.select(
         given_id("_id").alias(id_col), "n_chars", "edited", "prints", "edited_prints",
-        likeness(F.col("prints"), F.col("edited_prints"), size).alias("near_edited"), likeness(F.col("prints"), F.col("_next_prints"), size).alias("near_next"),
+        likeness(F.col("prints"), F.col("edited_prints"), k).alias("near_edited"), likeness(F.col("prints"), F.col("_next_prints"), k).alias("near_next"),
     )
 
 

@@ -361,6 +361,40 @@ def test_anchors_are_free_of_context(spark):
     assert len(inner) > 8 and all(other[h] - p == -2 for h, p in inner.items())
 
 
+def _shared_words(one, two, k=syncmers.K):
+    """Plain version of the likeness of two lists of (position, hash)."""
+    places = [{}, {}]
+    for found, text in zip(places, (one, two)):
+        for p, h in text:
+            found.setdefault(h, []).append(p)
+    pairs = [pair for h in places[0].keys() & places[1].keys() for pair in zip(places[0][h], places[1][h])]
+    covered = 0
+    for side in (sorted(pairs), sorted((q, p) for p, q in pairs)):
+        for (p, q), (p_next, q_next) in zip(side, side[1:]):
+            covered += min(k, p_next - p) if q_next > q else 0
+        covered += k if side else 0
+    return covered / sum(text[-1][0] - text[0][0] + k for text in (one, two))
+
+
+def test_likeness_is_of_all_anchors_by_position(spark):
+    r = random.Random(80)
+    long = [f"w{r.randrange(5000)}" for _ in range(6000)]
+    other, passage = [f"v{r.randrange(5000)}" for _ in range(6000)], [f"p{i}" for i in range(80)]
+    with_passage = [long[:2000] + passage + long[2000:], other[:4500] + passage + other[4500:]]
+    changed = [long[:i] + ["changed"] + long[i + 1 :] for i in (0, 17, 3000, 5999)]
+    x, y, again = ([f"{c}{i}" for i in range(30)] for c in "xyr")
+    cases = [(long, c) for c in changed] + [(long, long), (long, other), tuple(with_passage), (again + x + again + y + again, again + y + again + x + again)]
+    cases += [(["a"] * 50, ["a"] * 60), ([], []), ([], ["a"]), (x + y, y + x)]
+    df = spark.createDataFrame([(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(cases)], "i int, a string, b string")
+    df = df.select("i", syncmers.anchors(F.col("a")).alias("a"), syncmers.anchors(F.col("b")).alias("b"))
+    got = df.select("*", syncmers.likeness(F.col("a"), F.col("b")).alias("ab"), syncmers.likeness(F.col("b"), F.col("a")).alias("ba")).orderBy("i").collect()
+    for row, (a, b) in zip(got, cases):
+        assert row.ab == pytest.approx(_shared_words(row.a, row.b)) and row.ab == pytest.approx(row.ba)
+        assert (row.ab == 1) == (a == b) and [(p, h) for p, h in row.a] == sorted((p, h) for p, h in row.a)
+        assert (row.a == row.b) == (a == b)
+    assert all(0.99 < x.ab < 1 for x in got[:4]) and got[5].ab == 0 and 70 / 6080 < got[6].ab < 85 / 6080 and got[7].ab < 1 and 0.7 < got[11].ab < 1
+
+
 # 9 Katz backoff
 
 
