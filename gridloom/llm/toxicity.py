@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Model(tuple(features), (0.0,) * len(features), 0.0, 0.0).scorer()
         for batch in slices(batches, 0):
-            bags = []
+            bags, times = [], []
             for text in batch.column(0).to_pylist():
                 own = Counter()
                 if finder.find is not None and next(finder.find.iter(finder.marked(text)), None) is not None:
@@ -150,34 +150,41 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         found = {place[f] for _, (f, _) in finder.find.iter(finder.marked(text[a:b]))}
                         if found:
                             own[tuple(sorted(found))] += 1
-                bags.append([list(s) for s, n in own.items() for _ in range(min(n, 50))])
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["label", "bag"])
+                bags.append([list(s) for s in own])
+                times.append(list(own.values()))
+            columns = [batch.column(1), pa.array(bags, pa.list_(pa.list_(pa.int32()))), pa.array(times, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "bag", "times"])
 
-    bags = map_arrow(sample, encode, "label int, bag array<array<int>>")
+    bags = map_arrow(sample, encode, "label int, bag array<array<int>>, times array<int>")
     with_some = bags.where(F.size("bag") > 0).collect()
     rest = {r.label: r["count"] for r in bags.where(F.size("bag") == 0).groupBy("label").count().collect()}
     n_none, toxic_none = sum(rest.values()), sum(v for k, v in rest.items() if k)
     leak = (toxic_none + 0.5) / (n_none + 50)
-    weights, bias = train_noisy_or([r.bag for r in with_some], np.array([1.0 if r.label else 0.0 for r in with_some]), len(features), leak)
+    labels_of = np.array([1.0 if r.label else 0.0 for r in with_some])
+    weights, bias = train_noisy_or([r.bag for r in with_some], labels_of, len(features), leak, times=[r.times for r in with_some])
     return Model(tuple(features), tuple(weights.tolist()), bias, leak)
 
 
-def train_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: int, leak: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias of the sentence score, by gradient steps (Adam) on the likelihood of the documents' labels."""
+def train_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: int, leak: float, steps: int = STEPS, times: list[list[int]] | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias of the sentence score, by gradient steps (Adam) on the likelihood of the documents' labels.
+
+    ``times`` says how many sentences of its document each entry of a bag stands for; without it, one.
+    """
     theta = np.zeros(n_features + 1)
     theta[-1] = -1.0
     if not bags:
         return theta[:-1], float(theta[-1])
     doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    often = np.ones(len(doc)) if times is None else np.array([n for own in times for n in own], float)
     lengths = [len(s) for b in bags for s in b]
     sentence, feature = np.repeat(np.arange(len(doc)), lengths), np.array([f for b in bags for s in b for f in s])
     first = second = 0.0
     for step in range(1, steps + 1):
         z = theta[-1] + np.bincount(sentence, theta[feature], len(doc))
         score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        log_clean = np.log1p(-leak) - np.bincount(doc, np.logaddexp(0, z), len(bags))
+        log_clean = np.log1p(-leak) - np.bincount(doc, often * np.logaddexp(0, z), len(bags))
         clean = np.minimum(np.exp(log_clean), 1 - 1e-9)
-        slope = ((1 - labels) - labels * clean / (1 - clean))[doc] * -score  # of the log-likelihood, by z
+        slope = ((1 - labels) - labels * clean / (1 - clean))[doc] * -score * often  # of the log-likelihood, by z
         up = np.append(np.bincount(feature, slope[sentence], n_features), slope.sum()) / len(bags)
         up[:-1] -= PENALTY * theta[:-1]
         first, second = 0.9 * first + 0.1 * up, 0.99 * second + 0.01 * up * up

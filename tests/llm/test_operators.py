@@ -285,6 +285,27 @@ def test_noisy_or_gradient_raises_the_likelihood():
     assert weights[0] + bias > 1 and weights[1] + bias < -1
 
 
+def test_counts_in_bags_equal_repeats():
+    bags, times, labels = [[[0], [1]], [[1]], [[1], [0, 1]], [[0]]], [[3, 200], [120], [70, 1], [2]], np.array([1.0, 0.0, 0.0, 1.0])
+    repeated = [[s for s, n in zip(b, t) for _ in range(n)] for b, t in zip(bags, times)]
+    one, two = toxicity.train_noisy_or(bags, labels, 2, 0.01, times=times), toxicity.train_noisy_or(repeated, labels, 2, 0.01)
+    assert one[0] == pytest.approx(two[0], rel=1e-6) and one[1] == pytest.approx(two[1], rel=1e-6)
+
+
+def test_fit_sees_every_sentence_of_a_long_text(spark, monkeypatch):
+    rows = [(i, "you rotten one. alpha beta") for i in range(6)] + [(10 + i, "alpha beta. gamma") for i in range(40)]
+    rows.append((99, "you rotten one. " * 300 + "alpha. beta"))
+    seen, train = [], toxicity.train_noisy_or
+
+    def watched(bags, *given, times=None):
+        seen.extend(sum(t) for t in times or [[1] * len(b) for b in bags])
+        return train(bags, *given, times=times)
+
+    monkeypatch.setattr(toxicity, "train_noisy_or", watched)
+    toxicity.fit(texts(spark, rows), spark.createDataFrame([(i, int(i < 10)) for i, _ in rows], "doc_id long, toxic int"))
+    assert sorted(seen) == [1] * 6 + [300]
+
+
 # 7 Vectors
 
 
