@@ -121,7 +121,7 @@ def job_train(spark, folder):
 def job_baseline(spark, folder):
     """Search and fit."""
     base = _prepared(spark, folder)
-    found = jobs.run_baseline(spark, f"{base}/splits", f"{base}/ridge.json", f"{base}/ridge", trials=10,
+    found = jobs.run_baseline(spark, f"{base}/splits", f"{base}/ridge.json", f"{base}/ridge",
                               keys=["order-id"]).report
     s = found["cv_summary"]
     return rounded(spark.createDataFrame([(found["best_params"]["alpha"], s["cv_rmse_mean"], s["cv_r2_mean"])],
@@ -132,7 +132,7 @@ def job_baseline(spark, folder):
 def job_evaluate(spark, folder):
     """Test metrics of all three models."""
     base, stored, _ = _trained(spark, folder)
-    jobs.run_baseline(spark, f"{base}/splits", f"{base}/ridge.json", stored["ridge"], trials=5, keys=["order-id"])
+    jobs.run_baseline(spark, f"{base}/splits", f"{base}/ridge.json", stored["ridge"], keys=["order-id"])
     found = jobs.run_evaluate(spark, f"{base}/splits", stored, f"{base}/eval")
     rows = [(k, v["metrics"]["rmse"], v["metrics"]["r2"], v["shap"] is not None) for k, v in found.items()]
     return rounded(spark.createDataFrame(rows, "model string, rmse double, r2 double, attributed boolean"), 4)

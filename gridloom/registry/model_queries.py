@@ -146,7 +146,7 @@ def ridge_search(spark, folder):
 @query()
 def ridge_search_wide(spark, folder):
     """M2 with text columns: in-fold vocabularies, moments by matrix products, best penalty."""
-    table_, _ = ridge.ridge_search(orders_model(spark, folder), TARGET, trials=20, keys=KEY, drop=["o_orderkey"])
+    table_, _ = ridge.ridge_search(orders_model(spark, folder), TARGET, keys=KEY, drop=["o_orderkey"])
     return rounded(metrics.best_trial(table_), 4)
 
 

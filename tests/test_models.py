@@ -253,3 +253,24 @@ def test_evaluation_job(spark):
 def test_model_names():
     assert jobs.resolve_models("LGBM") == (trees.BOOSTED,) and jobs.resolve_models("random forest") == (trees.FOREST,)
     assert jobs.resolve_models(None) == jobs.resolve_models("what") == (trees.BOOSTED, trees.FOREST)
+
+
+def test_ridge_queries_search_all_trials(spark, monkeypatch):
+    from gridloom.operators import search
+    from gridloom.registry import job_queries, model_queries
+
+    class Searched(Exception):
+        pass
+
+    def watched(*_, trials=search.TRIALS, **__):
+        raise Searched(trials)
+
+    monkeypatch.setattr(model_queries.ridge, "ridge_search", watched)
+    monkeypatch.setattr(job_queries.jobs, "run_baseline", watched)
+    monkeypatch.setattr(model_queries, "orders_model", lambda *_: None)
+    monkeypatch.setattr(job_queries, "_prepared", lambda *_: "base")
+    monkeypatch.setattr(job_queries, "_trained", lambda *_: ("base", {"ridge": "ridge"}, {}))
+    for run in (model_queries.ridge_search_wide, job_queries.job_baseline, job_queries.job_evaluate):
+        with pytest.raises(Searched) as seen:
+            run(spark, "folder")
+        assert seen.value.args == (50,)
