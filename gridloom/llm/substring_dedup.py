@@ -3,9 +3,9 @@
 A window is ``window`` consecutive words. Its anchor is the least hash among its runs of ``window // 2`` words, so equal
 windows have equal anchors, and one anchor stands for some thirteen windows in a row.
 
-1. Every task lists the distinct anchors of its documents, dealt by hash to shards. A shard adds them up in a count-min sketch
-   (sketches of partitions add cell by cell); estimates are never below the number of documents with the anchor, hence never
-   below that of a window. Anchors estimated twice or more go back to their documents.
+1. Every task lists the distinct anchors of its documents, dealt by hash to shards, one entry per document. A shard adds them
+   up in a count-min sketch of its own; sketches of partitions are not built or merged. Estimates are never below the number
+   of documents with the anchor, hence never below that of a window. Anchors estimated twice or more go back to their documents.
 2. Windows with such an anchor are grouped exactly by a 128-bit digest of their words, again in shards. Of the equal windows
    a task holds, only those of its smallest document are sent; the others are already known to repeat an earlier one. So a
    window that every document has is sent once per task, and no group grows hot.
