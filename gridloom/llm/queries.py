@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import byte_bpe, katz, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
+from gridloom.llm import byte_bpe, conversation_repair, katz, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +198,54 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH RECURSIVE bits AS (
+  SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS t FROM range(256) r(n)
+), drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: ord(ch)::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS d
+  FROM conversations, bits
+), damaged AS (
+  SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE d WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), judged AS (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault
+  FROM placed
+), inserts(q, t, w, letters, lines) AS (
+  VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (3, 2, 3, 'I', ['user:']),
+    (2, 3, 3, 'I', ['assistant:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])
+), moves(q, t, letter, initial, w) AS (
+  VALUES (0, 0, 'D', NULL, 4), (1, 1, 'D', NULL, 4), (2, 2, 'D', NULL, 4), (3, 3, 'D', NULL, 4), (0, 2, 'R', NULL, 3), (1, 2, 'R', NULL, 3), (2, 3, 'R', NULL, 3), (3, 2, 'R', NULL, 3),
+    (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0)
+), paths(conv_id, i, q, best) AS (
+  SELECT conv_id, 0::BIGINT, t, {'cost': w, 'audit': letters, 'said': lines} FROM (SELECT DISTINCT conv_id FROM conversations), inserts WHERE q = 0
+  UNION ALL
+  SELECT p.conv_id, r.i, e.t, min({'cost': p.best.cost + m.w + e.w + CASE WHEN r.fault = 3 AND m.letter <> 'D' THEN 3 ELSE 0 END, 'audit': p.best.audit || m.letter || e.letters,
+    'said': list_concat(p.best.said, CASE m.letter WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text] ELSE [CASE m.t WHEN 3 THEN 'assistant:' ELSE 'user:' END || r.text] END, e.lines)})
+  FROM paths p JOIN judged r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+  JOIN moves m ON m.q = p.q AND (m.initial IS NULL OR m.initial = r.initial) AND (m.letter = 'D' OR r.fault NOT IN (1, 2)) JOIN inserts e ON e.q = m.t
+  GROUP BY p.conv_id, r.i, e.t
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), ended AS (
+  SELECT p.conv_id, min(p.best) AS best FROM paths p LEFT JOIN counted c ON p.conv_id IS NOT DISTINCT FROM c.conv_id WHERE p.i = coalesce(c.n, 0) AND p.q IN (0, 3) GROUP BY p.conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  e.best.cost::BIGINT AS cost, e.best.audit AS audit, sha256(array_to_string(e.best.said, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
