@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import byte_bpe, conversation_repair, katz, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
+from gridloom.llm import byte_bpe, conversation_repair, katz, kmeans_tree, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
 
 
+@query()
+def op12_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
