@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import byte_bpe, conversation_repair, katz, kmeans_tree, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
+from gridloom.llm import byte_bpe, collocations, conversation_repair, katz, kmeans_tree, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import crc_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +251,32 @@ def op12_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(table(spark, sf_dir, "embeddings"))
 
 
+@query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), starts AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM split, range(1, 6) t(k)
+), counts AS (
+  SELECT lang, k AS size, array_to_string(list_slice(words, i, i + k - 1), ' ') AS phrase, count(*) AS f FROM starts GROUP BY ALL HAVING count(*) >= 100
+), totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang
+), cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS p1, array_to_string(list_slice(string_split(phrase, ' '), k + 1, size), ' ') AS p2
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, n, min({'score': (1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f))::BIGINT, 'k': k, 'l': x.f, 'r': y.f}) AS best
+  FROM cuts c JOIN totals USING (lang) JOIN counts x ON x.lang = c.lang AND x.phrase = p1 JOIN counts y ON y.lang = c.lang AND y.phrase = p2 GROUP BY ALL
+), free AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (SELECT 1 FROM scored b WHERE b.lang = s.lang AND b.a >= s.a AND b.phrase <> s.phrase AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, best.l AS l, best.r AS r, n, best.score AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY best.score DESC, a DESC, phrase) AS rank FROM free) WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
