@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import BASES, _powers, map_arrow, mix, ship, slices, texts_as_bytes
@@ -246,8 +246,10 @@ def _counted(langs: list[str], phrases: list[bytes | None], n: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "f"])
 
 
-def _big(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(20,0)")
+def with_score(df: DataFrame) -> DataFrame:
+    """``score`` from whole numbers ``a, n, l, r``, in 38 digits: exact while a and n are below 10 ** 17."""
+    big = lambda c: F.col(c).cast("decimal(18,0)")
+    return df.withColumn("_x", F.lit(1000).cast("decimal(4,0)") * big("a") * big("n")).withColumn("_y", big("l") * big("r")).withColumn("score", F.expr("_x div _y")).drop("_x", "_y")
 
 
 def collocations(
@@ -275,7 +277,7 @@ def collocations(
     )
     left, right = (counts.select("lang", F.col("phrase").alias(side), F.col("f").alias(side[0])) for side in ("left", "right"))
     parts = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).join(totals, "lang")
-    parts = parts.withColumn("x", _big("a") * _big("n") * F.lit(1000)).withColumn("y", _big("l") * _big("r")).withColumn("score", F.expr("x div y"))
+    parts = with_score(parts)
     scored = parts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("best"))
     # counts never rise with length, so a longer phrase of as many occurrences shows in steps of one word
     longer = candidates.where("size >= 3")
