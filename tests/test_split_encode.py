@@ -136,13 +136,11 @@ def test_numeric_frames_have_no_text(spark):
 
 
 def test_row_local_operators_on_a_stream(spark, tmp_path):
-    from gridloom import streaming
-
     source = spark.createDataFrame([("r", 0.26, 2.0), ("b", 0.34, 0.0)], ["Kind Of", "BMI_calc", "Physical exercice"])
     source.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(source.schema).parquet(str(tmp_path / "in"))
     encoder = OneHot({"kind-of": ("b", "r")})
-    rows = encoder.apply(streaming.clean_table(stream))
+    rows = encoder.apply(jobs.clean_table(stream))
     writer = rows.writeStream.format("memory").queryName("cleaned").option("checkpointLocation", str(tmp_path / "cp")).start()
     writer.processAllAvailable()
     writer.stop()
