@@ -211,18 +211,42 @@ def count_phrases(docs: DataFrame, support: int, longest: int, shards: int, bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words in _by_language(batches):
-            yield _counted([lang], [None], np.array([len(words.hash)]))
+            total = np.array([len(words.hash)], "<u8")
+            found = [(np.zeros(1, np.int64), [b""], total)]  # all words, under no phrase
             held = _pairs_held(words, pairs.value)
             for k in range(1, longest + 1):
                 first, h = _longer(words, held, k) if k > 2 else words.phrases(k)
                 good = (longer if k > 2 else pairs).value.holds(h)
                 first, h = first[good], h[good]
                 order, new = _groups(h, words, first, k)
-                n = np.diff(np.concatenate((new, [len(h)])))
-                yield _counted([lang] * len(new), [words.text(i, k) for i in first[order[new]].tolist()], n)
-
-    partial = map_arrow(docs, count, "lang string, phrase string, f long")
-    return partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= support))
+                n = np.diff(np.concatenate((new, [len(h)]))).astype("<u8")
+                found.append(((h[order[new]] % np.uint64(buckets)).astype(np.int64), [words.text(i, k) for i in first[order[new]].tolist()], n))
+            yield _dealt(lang, found, buckets)
+
+    def add_up(group: pa.Table) -> pa.Table:
+        counts: dict[tuple[str, bytes], int] = {}
+        for lang, phrases, n in zip(*(group[c].to_pylist() for c in ("lang", "phrases", "counts"))):
+            for phrase, f in zip(phrases.split(b"\n"), np.frombuffer(n, "<u8").tolist()):
+                counts[lang, phrase] = counts.get((lang, phrase), 0) + f
+        kept = [(lang, p.decode() or None, f) for (lang, p), f in counts.items() if f >= support or not p]
+        return pa.table([pa.array([r[i] for r in kept], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "phrase", "f"])
+
+    dealt = map_arrow(docs, count, "bucket long, lang string, phrases binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(add_up, "lang string, phrase string, f long")
+
+
+def _dealt(lang: str, found: list[tuple], buckets: int) -> pa.RecordBatch:
+    """Phrases with their counts, in a row per bucket: no phrase holds the line break that parts them."""
+    phrases = [p for _, own, _ in found for p in own]
+    bucket, n = (np.concatenate([f[i] for f in found]) for i in (0, 2))
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    some, places, n = [i for i in range(buckets) if cuts[i] < cuts[i + 1]], order.tolist(), n[order]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int64()), pa.array([lang] * len(some), pa.string()),
+         pa.array([b"\n".join([phrases[j] for j in places[cuts[i] : cuts[i + 1]]]) for i in some], pa.binary()),
+         pa.array([n[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary())], ["bucket", "lang", "phrases", "counts"],
+    )
 
 
 def _groups(h: np.ndarray, words: Words, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,10 +266,6 @@ def _groups(h: np.ndarray, words: Words, first: np.ndarray, k: int) -> tuple[np.
     return order, np.flatnonzero(np.concatenate(([True], new | other)))
 
 
-def _counted(langs: list[str], phrases: list[bytes | None], n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "f"])
-
-
 def with_score(df: DataFrame) -> DataFrame:
     """``score`` from whole numbers ``a, n, l, r``, in 38 digits: exact while a and n are below 10 ** 17."""
     big = lambda c: F.col(c).cast("decimal(18,0)")
