@@ -1,17 +1,60 @@
 """Connected components by alternating stars, for graphs whose nodes may have any number of neighbours.
 
-Each round first links every larger neighbour of a node to the least node of its neighbourhood, then does the same for the smaller
+Each task first joins the edges it holds, so that every node is linked to the least one it reaches within the task. Each round
+then links every larger neighbour of a node to the least node of its neighbourhood, then does the same for the smaller
 ones. Minima are aggregates with partial sums before the shuffle, so a node with very many neighbours is one row per task.
 Rounds are cut off by tables in the shared folder; nothing is gathered.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import map_arrow
 from gridloom.sources.scratch import written
 
+#: Edges that a task joins at once.
+HELD_EDGES = 500_000
+
+
+def _joined_in_tasks(edges: DataFrame) -> DataFrame:
+    """Edges ``a > b`` that connect what the given ones do: in each task, of each node to the least that it reaches there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict = {}
+
+        def root(v):
+            while up[v] != v:
+                up[v] = up[up[v]]
+                v = up[v]
+            return v
+
+        def stars(schema: pa.Schema) -> pa.RecordBatch:
+            pairs = [(v, r) for v in up if (r := root(v)) != v]
+            up.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], schema.field(i).type) for i in range(2)], ["a", "b"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                up.setdefault(a, a)
+                up.setdefault(b, b)
+                a, b = root(a), root(b)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            if len(up) > HELD_EDGES:
+                yield stars(schema)
+        if up:
+            yield stars(schema)
+
+    kind = edges.schema["a"].dataType.simpleString()
+    return map_arrow(edges.select("a", "b"), run, f"a {kind}, b {kind}")
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -34,12 +77,12 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     current = edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).where(
         F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col(src) != F.col(dst))
     )
-    current, state = written(current.distinct(), "edges"), None
+    current, state = written(_joined_in_tasks(current).distinct(), "edges"), None
     while True:
         seen = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state or seen[0] == 0:
             break
         state = seen
-        current = written(_small_star(_large_star(current)), "edges")
+        current = written(_small_star(_large_star(_joined_in_tasks(current))), "edges")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
