@@ -1,98 +1,95 @@
-"""Forests and boosted trees: construction, parameter translation, search and scoring."""
+"""Forests and boosted trees: parameters, fits, search and scoring."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions.columns import ref
+from gridloom.operators import growing, sampler
 from gridloom.operators.metrics import cv_summary, fold_metrics
-from gridloom.operators.search import (
-    BOOSTED_SPACE,
-    FOREST_SPACE,
-    TRIALS,
-    Param,
-    draw,
-    fold_frame,
-    run_trials,
-    trial_table,
-)
+from gridloom.operators.search import BOOSTED_SPACE, FOREST_SPACE, TRIALS, Param, fold_frame, trial_table
 from gridloom.operators.split import FOLDS, SEED
-from gridloom.sources.scratch import enable_checkpoints
 
 FOREST, BOOSTED = "random_forest", "boosted"
-DEEPEST = 30  # the deepest tree Spark can address
-MAX_BINS = 64  # candidate split values of a feature
-
-# Parameter names accepted for each model and the Spark parameter each one sets.
-FOREST_PARAMS = {
-    "n_estimators": "numTrees",
-    "max_depth": "maxDepth",
-    "min_samples_leaf": "minInstancesPerNode",
-    "max_features": "featureSubsetStrategy",
-    "bootstrap": "bootstrap",
+
+# Parameters of each model with their defaults, and what a training job fills in.
+FOREST_DEFAULTS = {
+    "n_estimators": 100,
+    "max_depth": None,
+    "min_samples_split": 2,
+    "min_samples_leaf": 1,
+    "max_features": 1.0,
+    "bootstrap": True,
 }
-BOOSTED_PARAMS = {
-    "n_estimators": "maxIter",
-    "learning_rate": "stepSize",
-    "max_depth": "maxDepth",
-    "min_child_samples": "minInstancesPerNode",
-    "subsample": "subsamplingRate",
-    "colsample_bytree": "featureSubsetStrategy",
+BOOSTED_DEFAULTS = {
+    "n_estimators": 1000,
+    "learning_rate": 0.1,
+    "num_leaves": 31,
+    "max_depth": -1,
+    "min_child_samples": 20,
+    "subsample": 1.0,
+    "subsample_freq": 1,
+    "colsample_bytree": 1.0,
+    "reg_lambda": 0.0,
+    "reg_alpha": 0.0,
 }
-BOOSTED_DEFAULTS = {"n_estimators": 1000}
-
-
-def forest(seed: int = SEED) -> RandomForestRegressor:
-    """M3: a seeded forest; trees grow to the deepest level Spark can address. Splits are sought among ``MAX_BINS`` values."""
-    return RandomForestRegressor(featuresCol="features", predictionCol="prediction", seed=seed, numTrees=100,
-                                 maxDepth=DEEPEST, featureSubsetStrategy="all", maxBins=MAX_BINS, checkpointInterval=10)
-
-
-def boosted(seed: int = SEED) -> GBTRegressor:
-    """M5: seeded boosted trees; depth 5 stands for about 32 leaves."""
-    return GBTRegressor(featuresCol="features", predictionCol="prediction", seed=seed, maxIter=100, stepSize=0.1,
-                        maxDepth=5, minInstancesPerNode=20, maxBins=MAX_BINS, checkpointInterval=10)
-
-
-def configure(kind: str, params: Mapping[str, Any], seed: int = SEED) -> tuple[Any, dict]:
-    """An estimator with the known parameters set, and a report of what was applied, clamped or left out."""
-    estimator, names = (forest(seed), FOREST_PARAMS) if kind == FOREST else (boosted(seed), BOOSTED_PARAMS)
-    given = dict(params) if kind == FOREST else {**BOOSTED_DEFAULTS, **params}
-    report: dict = {"applied": {}, "clamped": {}, "dropped": []}
-    for name, value in given.items():
-        spark_name = names.get(name)
-        if spark_name is None or not estimator.hasParam(spark_name):
-            report["dropped"].append(name)
-            continue
-        if spark_name == "maxDepth" and (value is None or not 0 <= int(value) <= DEEPEST):  # None: without bound
-            value = DEEPEST
-            report["clamped"][name] = value
-        if spark_name == "featureSubsetStrategy":
-            value = {None: "all", "sqrt": "sqrt", "log2": "log2", "auto": "auto"}.get(value) or str(value if isinstance(value, int) else float(value))
-        estimator = estimator.copy({estimator.getParam(spark_name): value})
-        report["applied"][spark_name] = value
-    report["dropped"].sort()
-    return estimator, report
+
+
+def configure(kind: str, params: Mapping[str, Any]) -> tuple[dict, dict]:
+    """The values a fit uses, and a report of the given parameters that were applied and those no model knows."""
+    values = dict(FOREST_DEFAULTS if kind == FOREST else BOOSTED_DEFAULTS)
+    report: dict = {"applied": {k: v for k, v in params.items() if k in values}, "dropped": sorted(k for k in params if k not in values)}
+    values.update(report["applied"])
+    return values, report
+
+
+def _share(value: Any, n: int) -> float:
+    """The share of n features a node may use."""
+    if value in (None, "auto", "all"):
+        return 1.0
+    count = {"sqrt": math.sqrt(n), "log2": math.log2(max(n, 2))}.get(value) if isinstance(value, str) else None
+    return float(value) if isinstance(value, float) else max(1.0, int(value) if count is None else int(count)) / max(n, 1)
+
+
+def fit_blocks(blocks: growing.Blocks, target: str, kind: str, params: Mapping[str, Any], seed: int = SEED):
+    """M3, M5: a Spark model fitted on binned blocks, and the report of its parameters."""
+    values, report = configure(kind, params)
+    spark, depth = blocks.df.sparkSession, values["max_depth"]
+    depth = None if depth is None or depth < 0 or (kind == BOOSTED and depth == 0) else int(depth)
+    if kind == FOREST:
+        grown = growing.grow_forest(
+            blocks, trees=values["n_estimators"], depth=depth, split_rows=values["min_samples_split"], leaf_rows=values["min_samples_leaf"],
+            share=_share(values["max_features"], len(blocks.cuts)), bootstrap=values["bootstrap"], seed=seed,
+        )
+        return growing.spark_model(spark, "forest", grown, [1.0] * len(grown), blocks.cuts, target), report
+    grown = growing.boost(
+        blocks, trees=values["n_estimators"], rate=values["learning_rate"], leaves=values["num_leaves"], depth=depth,
+        leaf_rows=values["min_child_samples"], l1=values["reg_alpha"], l2=values["reg_lambda"], subsample=values["subsample"],
+        subsample_every=values["subsample_freq"], columns_share=values["colsample_bytree"], seed=seed,
+    )
+    start = growing.flat(growing.Node(0, 0, blocks.rows), lambda total, rows: blocks.mean)
+    weights = [1.0] + [values["learning_rate"]] * len(grown)
+    return growing.spark_model(spark, "boosted", [start, *grown], weights, blocks.cuts, target), report
 
 
 def fit_trees(train: DataFrame, target: str, kind: str, params: Mapping[str, Any], *, seed: int = SEED,
               features: Sequence[str] | None = None) -> tuple[PipelineModel, dict]:
     """M3, M5: fit on a numeric frame; the stored pipeline assembles its own feature vector."""
-    enable_checkpoints(train.sparkSession)
     names = [c for c in train.columns if c != target] if features is None else list(features)
-    estimator, report = configure(kind, params, seed)
-    estimator = estimator.setLabelCol(target)
-    assemble = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
-    rows = train.withColumn(target, ref(target).cast("double"))
-    return Pipeline(stages=[assemble, estimator]).fit(rows), report
+    blocks = growing.make_blocks(train, names, target)
+    model, report = fit_blocks(blocks, target, kind, params, seed)
+    growing.discard(train.sparkSession, blocks.path)
+    return PipelineModel([VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error"), model]), report
 
 
 def search_trees(
@@ -107,19 +104,40 @@ def search_trees(
     drop: Sequence[str] = (),
     space: Sequence[Param] | None = None,
     parallelism: int = 4,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """M4, M6: ``(trials, fold metrics)`` of a seeded random search with cross-validation."""
+    """M4, M6: ``(trials, fold metrics)`` of a sequential search with cross-validation.
+
+    Each fold's training rows are binned once, for all trials. Trials follow one another, as each is drawn from those before; the
+    folds of a trial run side by side. With a ``ledger`` folder a search that was cut off goes on after its last finished trial.
+    """
+    spark = train.sparkSession
     space = space or (FOREST_SPACE if kind == FOREST else BOOSTED_SPACE)
     frame = fold_frame(train, target, folds=folds, seed=seed, keys=keys, drop=drop)
-    drawn = {t: draw(space, t, seed) for t in range(trials)}
-
-    def objective(params: dict, fit_rows: DataFrame, check_rows: DataFrame, features: list[str]) -> dict:
-        model, _ = fit_trees(fit_rows, target, kind, params, seed=seed, features=features)
-        scored = model.transform(check_rows)
-        return fold_metrics(scored, target, "prediction", []).first().asDict()
-
-    metrics = run_trials(frame, drawn, objective, parallelism=parallelism)
-    table = trial_table(train.sparkSession, drawn)
+    rows = frame.df.persist()
+    blocks = {f: growing.make_blocks(rows.where(ref(frame.fold) != f), names, target) for f, names in frame.features.items()}
+
+    @inheritable_thread_target(spark)
+    def one(task: tuple[dict, int]) -> tuple:
+        params, fold = task
+        model, _ = fit_blocks(blocks[fold], target, kind, params, seed)
+        assemble = VectorAssembler(inputCols=frame.features[fold], outputCol="features", handleInvalid="error")
+        scored = model.transform(assemble.transform(rows.where(ref(frame.fold) == fold)))
+        m = fold_metrics(scored, target, "prediction", []).first()
+        return fold, m["mse"], m["rmse"], m["mae"], m["r2"]
+
+    def objective(params: dict) -> list[tuple]:
+        return pool.map(one, [(params, f) for f in frame.features], chunksize=1)
+
+    try:
+        with ThreadPool(max(1, min(parallelism, folds))) as pool:
+            found = sampler.search(spark, space, objective, trials, seed=seed, ledger=ledger)
+    finally:
+        rows.unpersist()
+        for b in blocks.values():
+            growing.discard(spark, b.path)
+    metrics = spark.createDataFrame([(t.number, *m) for t in found for m in t.folds], "trial int, fold int, mse double, rmse double, mae double, r2 double")
+    table = trial_table(spark, {t.number: t.params for t in found})
     return table.join(F.broadcast(cv_summary(metrics)), "trial"), metrics  # one row per trial
 
 

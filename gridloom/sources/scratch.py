@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +45,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes an intermediate table of this library that nothing reads any more."""
+    if f"{shared_folder(spark)}/gridloom/" not in path:
+        raise ValueError("only tables of the scratch folder are removed")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root, held = Path(__file__).resolve().parents[2], io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for file in sorted((root / "gridloom").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    path = Path(tempfile.mkdtemp(prefix="gridloom-")) / "gridloom_package.zip"  # on the driver; Spark copies it to the executors
+    path.write_bytes(held.getvalue())
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)

@@ -148,11 +148,12 @@ def test_ridge_refuses_missing_values(spark):
 
 
 def test_parameters(spark):
-    _, report = trees.configure(trees.FOREST, {"max_depth": 40, "min_samples_split": 3, "n_estimators": 7, "max_features": 1.0})
-    assert report["applied"] == {"maxDepth": 30, "numTrees": 7, "featureSubsetStrategy": "1.0"}
-    assert report["clamped"] == {"max_depth": 30} and report["dropped"] == ["min_samples_split"]
-    estimator, _ = trees.configure(trees.BOOSTED, {})
-    assert estimator.getMaxIter() == 1000 and estimator.getSeed() == 123
+    values, report = trees.configure(trees.FOREST, {"max_depth": 40, "min_samples_split": 3, "n_estimators": 7, "max_features": 1.0, "n_jobs": -1})
+    assert values["max_depth"] == 40 and values["min_samples_split"] == 3 and values["min_samples_leaf"] == 1
+    assert report == {"applied": {"max_depth": 40, "min_samples_split": 3, "n_estimators": 7, "max_features": 1.0}, "dropped": ["n_jobs"]}
+    assert trees.configure(trees.BOOSTED, {})[0]["n_estimators"] == 1000
+    for kind, space in ((trees.FOREST, search.FOREST_SPACE), (trees.BOOSTED, search.BOOSTED_SPACE)):
+        assert trees.configure(kind, search.draw(space, 0))[1] == {"applied": search.draw(space, 0), "dropped": []}
 
 
 def test_draws_stay_in_range_and_repeat():
