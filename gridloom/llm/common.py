@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import tempfile
 import zipfile
@@ -43,7 +45,7 @@ def crc_fold(id_col: Column, folds: int = 5) -> Column:
     return F.crc32(id_col.cast("string")) % folds
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds few bytes of text (or one row)."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -52,7 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
         start = 0
         while start < batch.num_rows:
             floor = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, floor + SLICE_BYTES, "right")))
+            end = max(start + 1, int(np.searchsorted(sizes, floor + most, "right")))
             yield batch.slice(start, end - start)
             start = end
 
@@ -85,10 +87,22 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker waits for its next task with what it holds, not with what it once needed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand."""
+    """``mapInArrow`` with this package at hand; the task's memory is given back at its end."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 class WordCache(dict):

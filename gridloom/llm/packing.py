@@ -11,6 +11,8 @@ hot, and a repeated task makes the same sequences again.
 
 from __future__ import annotations
 
+import os
+import re
 import sys
 import zlib
 from array import array
@@ -27,6 +29,8 @@ from tokenizers import Tokenizer
 
 from gridloom.llm.common import map_arrow, slices, without_marks
 
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of its own cost it time and memory
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Tokens of a sequence.
 LENGTH = 4096
@@ -36,6 +40,8 @@ END_ID = 2
 BLOCK_TOKENS = 2048 * LENGTH
 #: Distinct words a worker keeps before it forgets those it met once.
 CACHED = 300_000
+#: Bytes of text encoded at once.
+ENCODED_BYTES = 2 << 20
 #: Sequence ids of a task begin at its number times this.
 _TASK_IDS = 1 << 36
 _BIG_ENDIAN = sys.byteorder == "big"
@@ -46,10 +52,17 @@ _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def _words(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
     """The tokenizer, and ids by word; the worker keeps both."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = True  # words come in lower case here; special tokens are taken out of the text before
     return tokenizer, {}
 
 
+@lru_cache(maxsize=4)
+def _special(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
+    """A pattern of the file's special tokens, which stand for themselves anywhere in a text, and their ids."""
+    ids = {token.content: np.array([i], "<u4").tobytes() for i, token in _words(path)[0].get_added_tokens_decoder().items()}
+    return re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")") if ids else None, ids
+
+
 def _lowered(text: str) -> str:
     """The text in lower case where that is the tokenizer's own (it is blind to case): with Latin letters only."""
     try:
@@ -64,6 +77,17 @@ def encoded_texts(texts: list[str], path: str = TOKENIZER) -> list[bytes]:
 
     The tokenizer drops white space, so words are looked up one by one; those not seen before are encoded together.
     """
+    pattern, special = _special(path)
+    cut = {i: parts for i, text in enumerate(texts) if pattern and len(parts := pattern.split(text)) > 1} if any("<" in t for t in texts) else {}
+    if not cut:
+        return _encoded_words(texts, path)
+    plain = [part for i, text in enumerate(texts) for part in (cut[i] if i in cut else [text]) if part not in special]
+    ids = iter(_encoded_words(plain, path))
+    return [b"".join(special.get(part) or next(ids) for part in cut[i]) if i in cut else next(ids) for i in range(len(texts))]
+
+
+def _encoded_words(texts: list[str], path: str) -> list[bytes]:
+    """Ids of texts without special tokens."""
     tokenizer, known = _words(path)
     split = [_lowered(text.replace("\n", " ")).split(" ") for text in texts]
     words = set().union(*split)
@@ -153,7 +177,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, block, held = TaskContext.get().partitionId() * _TASK_IDS, [], 0
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, ENCODED_BYTES):
             for doc, ids in zip(batch.column(0).to_pylist(), encoded_texts(batch.column(1).to_pylist(), path)):
                 ids += end
                 block.append((doc, ids))

@@ -119,9 +119,9 @@ def test_bloom_filter_has_no_false_negatives(spark):
 
 
 def test_packing(spark):
-    rows = as_rows(sample_texts(1)) + [(99, "long text here " * 5000)]
+    odd = ["a<|endoftext|>b", "<|startoftext|> Aé<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|end oftext|>", " <| <|endoftext|>.\u0301x"]
+    rows = as_rows(sample_texts(1)) + [(99, "long text here " * 5000), *enumerate(odd, 200)]
     tokenizer = Tokenizer.from_file(packing.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     pieces = packing.pack(texts(spark, rows), length=256, block_tokens=4096, with_ids=True).collect()
     ids = {}
     for p in sorted(pieces, key=lambda p: (same_id(p.doc_id), p.start)):
