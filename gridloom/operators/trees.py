@@ -53,6 +53,15 @@ def configure(kind: str, params: Mapping[str, Any]) -> tuple[dict, dict]:
     return values, report
 
 
+def known_parameters(df: DataFrame, column: str, kind: str) -> DataFrame:
+    """P19 for a table of trials: the map of parameters (as text) in ``column``, restricted to those the model knows, defaults filled in."""
+    defaults = FOREST_DEFAULTS if kind == FOREST else BOOSTED_DEFAULTS
+    names = F.array(*[F.lit(n) for n in defaults])
+    given = F.map_filter(F.coalesce(F.col(column), F.create_map().cast("map<string,string>")), lambda k, v: F.array_contains(names, k))
+    missing = F.map_filter(F.create_map(*[F.lit(str(v)) for pair in defaults.items() for v in pair]), lambda k, v: ~F.map_contains_key(given, k))
+    return df.withColumn(column, F.map_concat(given, missing))
+
+
 def _share(value: Any, n: int) -> float:
     """The share of n features a node may use."""
     if value in (None, "auto", "all"):

@@ -119,9 +119,12 @@ def run_prepare(spark: SparkSession, source: str, parquet: str, *, text: str | N
 
 def run_search(spark: SparkSession, parquet: str, folder: str, *, models: str | None = None, target: str | None = None,
                trials: int = TRIALS, folds: int = FOLDS, seed: int = SEED, keys: Sequence[str] | None = None,
-               drop: Sequence[str] = (), spaces: Mapping[str, Sequence[Param]] | None = None, parallelism: int = 4
-               ) -> dict[str, dict]:
-    """Search the chosen tree models on the train rows; one JSON report each."""
+               drop: Sequence[str] = (), spaces: Mapping[str, Sequence[Param]] | None = None, parallelism: int = 4,
+               resume: bool = False) -> dict[str, dict]:
+    """Search the chosen tree models on the train rows; one JSON report each.
+
+    With ``resume`` every finished trial is kept in the folder, and a search over the same rows, space and seed that was cut off goes on from there.
+    """
     df = read_splits(spark, parquet)
     target = target or infer_target(df.columns)
     train = part(df, TRAIN)
@@ -129,7 +132,8 @@ def run_search(spark: SparkSession, parquet: str, folder: str, *, models: str |
     reports = {}
     for kind in resolve_models(models):
         table, _ = trees.search_trees(train, target, kind, trials=trials, folds=folds, seed=seed, keys=keys, drop=drop,
-                                      space=(spaces or {}).get(kind), parallelism=parallelism)
+                                      space=(spaces or {}).get(kind), parallelism=parallelism,
+                                      ledger=f"{folder}/trials_{kind}" if resume else None)
         best = metrics.require_best(table)
         reports[kind] = {
             "best_params": trees.best_params(table, best),

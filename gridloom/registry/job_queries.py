@@ -107,7 +107,7 @@ def _trained(spark, folder):
 
 
 @query("""SELECT model, CAST(n - round_even(0.2 * n, 0) AS BIGINT) AS training_rows, applied
-          FROM (SELECT count(*) AS n FROM orders), (VALUES ('boosted', 'maxDepth,maxIter'), ('random_forest', 'maxDepth,numTrees'))
+          FROM (SELECT count(*) AS n FROM orders), (VALUES ('boosted', 'max_depth,n_estimators'), ('random_forest', 'max_depth,n_estimators'))
           AS t(model, applied)""")
 def job_train(spark, folder):
     """G5, P17, P23."""

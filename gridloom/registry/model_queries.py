@@ -167,6 +167,39 @@ _FEATURES = ["c_acctbal", "c_nationkey", "day", "c_mktsegment_BUILDING", "c_mkts
              "c_mktsegment_HOUSEHOLD", "c_mktsegment_MACHINERY"]
 
 
+def _stump_sql(l1: float, l2: float, least: int, rate: float) -> str:
+    """Best split of all rows by one of two features, and the value of either side."""
+    t = lambda v: f"sign({v}) * greatest(abs({v}) - {l1}, 0)"
+    return f"""{LEARNABLE_SQL}, base AS (SELECT o_orderkey, c_nationkey::DOUBLE AS f0, (c_mktsegment = 'BUILDING')::INT::DOUBLE AS f1, score,
+  score - avg(score) OVER () AS r, avg(score) OVER () AS mean FROM learnable),
+cuts AS (SELECT DISTINCT 0 AS f, f0 AS cut FROM base UNION SELECT DISTINCT 1, f1 FROM base),
+sides AS (SELECT f, cut, count(*) FILTER (x <= cut) AS nl, count(*) FILTER (x > cut) AS nr, sum(r) FILTER (x <= cut) AS rl, sum(r) FILTER (x > cut) AS rr
+          FROM cuts, LATERAL (SELECT CASE f WHEN 0 THEN f0 ELSE f1 END AS x, r FROM base) GROUP BY 1, 2),
+best AS (SELECT * FROM sides WHERE nl >= {least} AND nr >= {least}
+         ORDER BY ({t('rl')}) ** 2 / (nl + {l2}) + ({t('rr')}) ** 2 / (nr + {l2}) DESC, f, cut LIMIT 1),
+fit AS (SELECT o_orderkey, mean + {rate} * CASE WHEN CASE f WHEN 0 THEN f0 ELSE f1 END <= cut THEN {t('rl')} / (nl + {l2}) ELSE {t('rr')} / (nr + {l2}) END AS prediction
+        FROM base, best)"""
+
+
+def _stump(spark, folder, kind, params):
+    df = learnable(spark, folder).select("o_orderkey", F.col("c_nationkey").cast("double").alias("f0"), (F.col("c_mktsegment") == "BUILDING").cast("double").alias("f1"), "score")
+    model, _ = trees.fit_trees(df, "score", kind, params, features=["f0", "f1"])
+    return rounded(trees.score(model, df).select("o_orderkey", "prediction"), 4)
+
+
+@query(f"WITH {_stump_sql(40000.0, 25.0, 100, 0.5)} SELECT o_orderkey, {r('prediction', 'prediction', 4)} FROM fit")
+def boosted_stump(spark, folder):
+    """M5: one regularised split: L1, L2, rows of a leaf and learning rate act."""
+    return _stump(spark, folder, trees.BOOSTED, {
+        "n_estimators": 1, "num_leaves": 2, "learning_rate": 0.5, "reg_alpha": 40000.0, "reg_lambda": 25.0, "min_child_samples": 100})
+
+
+@query(f"WITH {_stump_sql(0.0, 0.0, 30, 1.0)} SELECT o_orderkey, {r('prediction', 'prediction', 4)} FROM fit")
+def forest_stump(spark, folder):
+    """M3: one tree of all rows, one level deep."""
+    return _stump(spark, folder, trees.FOREST, {"n_estimators": 1, "bootstrap": False, "max_depth": 1, "min_samples_leaf": 30})
+
+
 def _holdout_fit(spark, folder, kind, params):
     marked = split.hold_out(_numeric(spark, folder), "score", keys=KEY)
     model, report = trees.fit_trees(marked.where(F.col("split") == "train"), "score", kind, params, features=_FEATURES)
@@ -187,37 +220,30 @@ def gbt_fit(spark, folder):
     return _metrics(trees.score(model, test), "score", "prediction")
 
 
-@query("""SELECT model, parameter, fate, CAST((SELECT count(*) FROM orders) AS BIGINT) AS train_rows FROM (VALUES
-             ('random_forest', 'n_estimators', 'applied'), ('random_forest', 'max_depth', 'clamped'),
-             ('random_forest', 'min_samples_split', 'dropped'), ('random_forest', 'min_samples_leaf', 'applied'),
-             ('random_forest', 'max_features', 'applied'), ('random_forest', 'bootstrap', 'applied'),
-             ('boosted', 'n_estimators', 'applied'), ('boosted', 'learning_rate', 'applied'), ('boosted', 'num_leaves', 'dropped'),
-             ('boosted', 'max_depth', 'clamped'), ('boosted', 'min_child_samples', 'applied'), ('boosted', 'subsample', 'applied'),
-             ('boosted', 'colsample_bytree', 'applied'), ('boosted', 'reg_lambda', 'dropped'), ('boosted', 'reg_alpha', 'dropped'))
-           AS t(model, parameter, fate)""")
+@query("""SELECT o_orderkey, p.parameter, p.value FROM (SELECT o_orderkey, unnest([
+               {'parameter': 'n_estimators', 'value': CAST(1 + o_custkey % 90 AS VARCHAR)}, {'parameter': 'max_depth', 'value': coalesce(CAST(nullif(o_custkey % 7, 0) AS VARCHAR), 'None')},
+               {'parameter': 'min_samples_split', 'value': '2'}, {'parameter': 'min_samples_leaf', 'value': '1'}, {'parameter': 'max_features', 'value': '1.0'},
+               {'parameter': 'bootstrap', 'value': 'True'}]) AS p FROM orders)""")
 def parameter_report(spark, folder):
-    """What becomes of each searched parameter, with the rows it would be fitted on."""
-    rows = table(spark, folder, "orders").count()
-    found = []
-    for kind, space in ((trees.FOREST, search.FOREST_SPACE), (trees.BOOSTED, search.BOOSTED_SPACE)):
-        drawn = search.draw(space, 0)
-        _, report = trees.configure(kind, {**drawn, "max_depth": 40})
-        for name in drawn:
-            fate = "dropped" if name in report["dropped"] else "clamped" if name in report["clamped"] else "applied"
-            found.append((kind, name, fate, rows))
-    return spark.createDataFrame(found, "model string, parameter string, fate string, train_rows long")
-
-
-_FOREST_SPACE = (search.Param("n_estimators", "int", 3, 6), search.Param("max_depth", "int", 3, 6),
+    """A table of trials with stored parameters, restricted to those a forest knows, defaults filled in."""
+    trials = table(spark, folder, "orders").select("o_orderkey", F.map_filter(F.create_map(
+        F.lit("n_estimators"), (1 + F.col("o_custkey") % 90).cast("string"), F.lit("max_depth"), F.nullif(F.col("o_custkey") % 7, F.lit(0)).cast("string"),
+        F.lit("n_jobs"), F.lit("-1"), F.lit("status"), F.col("o_orderstatus")), lambda k, v: v.isNotNull()).alias("given"))
+    known = trees.known_parameters(trials, "given", trees.FOREST)
+    return known.select("o_orderkey", F.explode("given").alias("parameter", "value"))
+
+
+_FOREST_SPACE = (search.Param("n_estimators", "int", 3, 6), search.Param("max_depth", "int", 3, 40), search.Param("min_samples_split", "int", 2, 40),
                  search.Param("min_samples_leaf", "int", 1, 10), search.Param("max_features", "float", 0.5, 1.0),
                  search.Param("bootstrap", "choice", choices=(True, False)))
-_BOOSTED_SPACE = (search.Param("n_estimators", "int", 3, 6), search.Param("learning_rate", "log", 0.05, 0.5),
-                  search.Param("max_depth", "int", 2, 4))
+_BOOSTED_SPACE = (search.Param("n_estimators", "int", 2, 4), search.Param("learning_rate", "log", 0.05, 0.5), search.Param("num_leaves", "int", 4, 12),
+                  search.Param("max_depth", "int", 2, 4), search.Param("min_child_samples", "int", 5, 40), search.Param("subsample", "float", 0.4, 1.0),
+                  search.Param("colsample_bytree", "float", 0.4, 1.0), search.Param("reg_lambda", "float", 0.0, 80.0), search.Param("reg_alpha", "float", 0.0, 40.0))
 
 
 @query()
 def forest_search(spark, folder):
-    """M4, M7: seeded search with fold-wise encoding."""
+    """M4, M7: sequential search with fold-wise encoding."""
     found, _ = trees.search_trees(learnable(spark, folder).repartition(*KEY), "score", trees.FOREST, trials=2, folds=3, keys=KEY,
                                   drop=["o_orderkey"], space=_FOREST_SPACE)
     return rounded(found, 4)
@@ -248,17 +274,33 @@ def foreign_model_score(spark, folder):
 # --------------------------------------------------------------------------------------------------------------
 # importance
 
-_IMPORTANCE = f"""{LEARNABLE_SQL}, ranked AS (
+def _once_sql(x: str) -> str:
+    """A permutation's four rounds over a grid of ``g_rows`` by ``g_columns``, by the keys ``k0 .. k7``."""
+    left, right = f"(({x}) % g_rows)", f"(({x}) // g_rows)"
+    drawn = lambda v, i: f"((({v} + k{2 * i}) % 2147483647) * (({v} + k{2 * i + 1}) % 2147483647) % 2147483647 * 48271 % 2147483647)"
+    for i in (0, 2):
+        left = f"(({left} + {drawn(right, i)}) % g_rows)"
+        right = f"(({right} + {drawn(left, i + 1)}) % g_columns)"
+    return f"({left} + {right} * g_rows)"
+
+
+_ROUND_KEYS = ", ".join(
+    f"CAST(floor((('0x' || substr(md5('123|' || range || '|' || feature || '|{i}'), 1, 12))::BIGINT / 281474976710656.0) * 2147483647) AS BIGINT) AS k{i}" for i in range(8))
+
+_IMPORTANCE = f"""RECURSIVE {LEARNABLE_SQL}, ranked AS (
   SELECT row_number() OVER (ORDER BY {digest_sql('o_orderkey')}, o_orderkey) - 1 AS pos, c_acctbal, day, c_nationkey, score AS y FROM learnable),
 size AS (SELECT count(*) AS n, var_pop(y) * count(*) AS sst, 1 - sum((y - 3 * c_acctbal - 2 * day) ** 2) / (var_pop(y) * count(*)) AS r2 FROM ranked),
-shifts AS (SELECT CAST(range AS INTEGER) AS repeat, 1 + CAST(floor((('0x' || substr(md5('123|' || range || '|shift'), 1, 12))::BIGINT
-           / 281474976710656.0) * (n - 1)) AS BIGINT) AS shift FROM range(10), size),
-paired AS (SELECT repeat, a.y, a.c_acctbal, a.day, d.c_acctbal AS d1, d.day AS d2 FROM ranked a CROSS JOIN shifts CROSS JOIN size
-           JOIN ranked d ON d.pos = (a.pos + shift) % n),
+grid AS (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS g_rows, (n + CAST(ceil(sqrt(n)) AS BIGINT) - 1) // CAST(ceil(sqrt(n)) AS BIGINT) AS g_columns FROM size),
+draws AS (SELECT CAST(range AS INTEGER) AS repeat, feature, {_ROUND_KEYS} FROM range(10), (VALUES ('c_acctbal'), ('day')) f(feature)),
+walk(repeat, feature, origin, x) AS (
+  SELECT repeat, feature, pos, {_once_sql('pos')} FROM ranked, draws, grid
+  UNION ALL SELECT repeat, feature, origin, {_once_sql('x')} FROM walk JOIN draws USING (repeat, feature), grid WHERE x >= n),
+paired AS (SELECT repeat, feature, a.y, a.c_acctbal, a.day, d.c_acctbal AS d1, d.day AS d2 FROM walk JOIN size ON x < n
+           JOIN ranked a ON a.pos = x JOIN ranked d ON d.pos = origin),
 scores AS (SELECT 'c_acctbal' AS feature, repeat, any_value(r2) - (1 - sum((y - 3 * d1 - 2 * day) ** 2) / any_value(sst)) AS importance
-           FROM paired, size GROUP BY 2
-           UNION ALL SELECT 'day', repeat, any_value(r2) - (1 - sum((y - 3 * c_acctbal - 2 * d2) ** 2) / any_value(sst)) FROM paired, size GROUP BY 2
-           UNION ALL SELECT 'c_nationkey', repeat, 0.0 FROM shifts)"""
+           FROM paired, size WHERE feature = 'c_acctbal' GROUP BY 2
+           UNION ALL SELECT 'day', repeat, any_value(r2) - (1 - sum((y - 3 * c_acctbal - 2 * d2) ** 2) / any_value(sst)) FROM paired, size WHERE feature = 'day' GROUP BY 2
+           UNION ALL SELECT 'c_nationkey', CAST(range AS INTEGER), 0.0 FROM range(10))"""
 
 
 def _formula_importance(spark, folder):
@@ -361,14 +403,17 @@ def top_attributions(spark, folder):
     return rounded(attribution.top_attributions(summary, n_features=64, n_rows=rows).select("feature", "max_intensity"))
 
 
-@query("SELECT 'orders' AS source, CAST(count(*) AS BIGINT) AS train_rows FROM orders")
+@query(f"""WITH {_FORMULA_FOLDS}, best AS (SELECT trial FROM summary ORDER BY mse, trial LIMIT 1)
+           SELECT trial, fold, {r('rmse', 'rmse', 4)}, {r('mae', 'mae', 4)} FROM per JOIN best USING (trial)""")
 def report_roundtrip(spark, folder):
-    """A JSON report written and read."""
+    """The best trial of a table is written as a JSON report, read back, and its folds looked up."""
+    folds = _formula_folds(spark, folder)
+    best = metrics.require_best(metrics.cv_summary(folds))
     path = scratch_path(spark, "report") + ".json"
-    reports.write_report(spark, {"best_params": {"alpha": 1.5}, "source": "orders",
-                                 "train_rows": table(spark, folder, "orders").count()}, path)
-    found = reports.read_report(spark, path)
-    return spark.createDataFrame([(found["source"], found["train_rows"])], "source string, train_rows long")
+    reports.write_report(spark, {"best_params": {"trial": best["trial"]}, "best_value": best["cv_mse_mean"]}, path)
+    chosen = reports.read_best_params(spark, path)
+    return folds.where(F.col("trial") == chosen["trial"]).select(
+        "trial", "fold", (F.round("rmse", 4) + 0.0).alias("rmse"), (F.round("mae", 4) + 0.0).alias("mae"))
 
 
 @query(f"""WITH {LEARNABLE_SQL} SELECT {r('avg(c_acctbal)', 'c_acctbal', 4)}, {r('avg(c_nationkey)', 'c_nationkey', 4)},
