@@ -105,8 +105,8 @@ def serialized(records: DataFrame) -> DataFrame:
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """WARC files, one per partition, in a shared folder."""
-    serialized(records).select(F.decode("record", "UTF-8").alias("value")).write.option("lineSep", "\x00").option("compression", "gzip").text(path)
+    """WARC files, one per partition, in a shared folder: records stand one after another, each ended by two line ends."""
+    records.select(F.concat("header", F.lit(_END), "block").alias("value")).write.option("lineSep", _END * 2).text(path)
 
 
 def page_responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:

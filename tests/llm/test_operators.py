@@ -6,12 +6,14 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -184,7 +186,17 @@ def test_warc(spark):
     assert warc.derivatives(responses.limit(0)).count() == 0
     path = scratch_path(spark, "warc")
     warc.write_warc(warc.derivatives(responses), path)
-    assert spark.read.text(path, wholetext=True).agg(F.sum(F.regexp_count("value", F.lit("WARC/1.1")))).first()[0] == 8
+    found = []
+    for file in spark.read.format("binaryFile").load(path).collect():
+        rest = bytes(file.content)
+        while rest:
+            header, rest = rest.split(b"\r\n\r\n", 1)
+            lines = header.decode().split("\r\n")
+            size = int(dict(line.split(": ", 1) for line in lines[1:])["Content-Length"])
+            assert lines[0] == "WARC/1.1" and rest[size : size + 4] == b"\r\n\r\n"
+            found.append((header + b"\r\n", rest[:size]))
+            rest = rest[size + 4 :]
+    assert sorted(found) == sorted((x.header.encode(), x.block.encode()) for x in got)
 
 
 # 4 Substring dedup
@@ -279,6 +291,24 @@ def test_toxicity(spark):
     assert again == model
 
 
+def test_scores_are_the_noisy_or_of_sentences(spark):
+    model = toxicity.Model(("^vile$", "^vil", "ugly$", "^été$"), (1.5, 0.25, 0.75, 0.5), -1.0, 0.02)
+    parts = ["a vile thing", "Vile, vile", "ugly", "fine", "ÉTÉ 7 vile", "x-ugly-y", ""]
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice(parts) + r.choice([". ", "!", "\n", "?"]) for _ in range(r.randrange(12)))) for i in range(60)] + [(90, None), (91, "")]
+
+    def plain(text):
+        clean = 1 - model.leak
+        for sentence in re.split(r"[.!?\n]+", text or ""):
+            marked = "^" + "$^".join(w for w in re.split(r"[\W\d_]+", sentence.lower())) + "$"
+            found = [w for f, w in zip(model.features, model.weights) if f in marked]
+            clean *= 1 - 1 / (1 + math.exp(-(model.bias + sum(found)))) if found else 1
+        return 1 - clean
+
+    got = {x.doc_id: x.score for x in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == pytest.approx({i: plain(t) for i, t in rows}, abs=1e-12) and len(set(got.values())) > 5
+
+
 def test_noisy_or_gradient_raises_the_likelihood():
     bags, labels = [[[0], [1]], [[1]], [[1], [1]], [[0]]], np.array([1.0, 0.0, 0.0, 1.0])
     weights, bias = toxicity.train_noisy_or(bags, labels, 2, 0.01)
@@ -382,6 +412,33 @@ def test_anchors_are_free_of_context(spark):
     assert len(inner) > 8 and all(other[h] - p == -2 for h, p in inner.items())
 
 
+def plain_anchors(text, k=syncmers.K, s=syncmers.S):
+    """(place, hash) of each run of k words whose least run of s words is the first or the last."""
+    def chained(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest((v % 2**64).to_bytes(8, "little"), h)
+        return h
+
+    words = re.split(r"[\x20\x09-\x0D]+", text)
+    words = [0] * (k - 1) + [xxhash.xxh64_intdigest(w.encode(), 42) for w in words] + [0] * (k - 1)
+    signed = lambda v: v - 2**64 if v >= 2**63 else v
+    grams = [chained(words[i : i + s]) for i in range(len(words) - s + 1)]
+    found = []
+    for i in range(len(words) - k + 1):
+        inner = [signed(g) for g in grams[i : i + k - s + 1]]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((i - (k - 1), signed(chained([grams[i + j] for j in sorted({*range(0, k - s, s), k - s})]))))
+    return found
+
+
+def test_anchors_are_the_closed_syncmers(spark):
+    rows = [t or "" for t in sample_texts(9)] + ["a a a a a a a a", "x", "one two", " lead and trail "]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", syncmers.anchors(F.col("t")).alias("a"))
+    for x in df.collect():
+        assert [(a.position, a.hash) for a in x.a] == plain_anchors(rows[x.i]), rows[x.i][:60]
+
+
 def _shared_words(one, two, k=syncmers.K):
     """Plain version of the likeness of two lists of (position, hash)."""
     places = [{}, {}]
