@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators import attribution, importance, metrics, ridge, search, split, trees
+from gridloom.operators import attribution, importance, metrics, ridge, ridge_wide, search, split, trees
 from gridloom.operators.clean import ensure_numeric
 from gridloom.operators.encode import OneHot
 from gridloom.plans import jobs
@@ -150,6 +150,19 @@ def ridge_search_wide(spark, folder):
     return rounded(metrics.best_trial(table_), 4)
 
 
+@query(f"""WITH {LEARNABLE_SQL}, rows AS (SELECT l.o_orderkey, CAST(o_custkey AS VARCHAR) AS c, score AS y FROM learnable l JOIN orders o ON l.o_orderkey = o.o_orderkey),
+           sizes AS (SELECT c, count(*) AS n, sum(y) AS s, (count(*) / (SELECT count(*) FROM rows)) * (1 - count(*) / (SELECT count(*) FROM rows)) AS v,
+                     c = (SELECT min(c) FROM rows) AS base FROM rows GROUP BY 1),
+           shares AS (SELECT *, CASE WHEN base THEN 1.0 ELSE 40.0 * v / (n + 40.0 * v) END AS g FROM sizes),
+           middle AS (SELECT sum(g * s) / sum(g * n) AS b FROM shares)
+           SELECT o_orderkey, {r('b + CASE WHEN base THEN 0.0 ELSE (s - n * b) / (n + 40.0 * v) END', 'prediction', 3)} FROM rows JOIN shares USING (c), middle""")
+def ridge_wide_categories(spark, folder):
+    """M1, M8 over a vocabulary of any width: a category per customer, by conjugate gradients."""
+    df = learnable(spark, folder).join(table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("c")), "o_orderkey")
+    model = ridge_wide.fit_ridge_wide(df.select("o_orderkey", "c", "score"), "score", 40.0, drop=["o_orderkey"])
+    return rounded(model.predict(df.select("o_orderkey", "c")).select("o_orderkey", "prediction"), 3)
+
+
 # --------------------------------------------------------------------------------------------------------------
 # trees
 
