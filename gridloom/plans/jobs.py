@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -31,7 +32,16 @@ from gridloom.operators.split import (
     with_validation,
 )
 from gridloom.sources.models import final_stage, load_coder, load_model, save_coder, save_model, stored_trees
-from gridloom.sources.reports import exists, read_best_params, write_importance, write_mapping, write_report
+from gridloom.sources.reports import (
+    exists,
+    read_best_params,
+    read_report,
+    rename,
+    size_of,
+    write_importance,
+    write_mapping,
+    write_report,
+)
 from gridloom.sources.splits import part, read_splits, write_splits
 from gridloom.sources.tables import read_csv, read_parquet, write_table
 
@@ -317,22 +327,42 @@ def run_evaluate(spark: SparkSession, parquet: str, models: Mapping[str, str], f
 def run_all(spark: SparkSession, source: str, folder: str, *, target: str = TARGET, trials: int = TRIALS,
             folds: int = FOLDS, seed: int = SEED, keys: Sequence[str] | None = None, repeats: int = importance.JOB_REPEATS,
             spaces: Mapping[str, Sequence[Param]] | None = None, importance_params: Mapping[str, Any] | None = None,
-            guard: bool = True) -> dict[str, dict]:
-    """Clean, prepare, search, importance, train, baseline search, baseline fit, evaluate."""
+            guard: bool = True, resume: bool = False) -> dict[str, dict]:
+    """Clean, prepare, search, importance, train, baseline search, baseline fit, evaluate.
+
+    Each finished stage is noted in the folder. With ``resume`` a run that was cut off goes on after the stages noted for the same
+    source and settings, and a search after its last finished trial.
+    """
     data, results = f"{folder}/data", f"{folder}/results"
-    run_clean(spark, source, data)
     splits = f"{data}/dataset_splits_encoded.parquet"
-    run_prepare(spark, f"{data}/dataset_cleaned_final.parquet", splits, text=f"{data}/dataset_splits_encoded.csv",
-                encoders_json=f"{data}/encoders_mappings.json", encoders_csv=f"{data}/encoders_mappings.csv",
-                target=target, seed=seed, keys=keys, guard=guard)
-    run_search(spark, splits, results, target=target, trials=trials, folds=folds, seed=seed, keys=keys, spaces=spaces)
-    run_importance(spark, splits, f"{results}/feature_importances.json", target=target, repeats=repeats, seed=seed,
-                   keys=keys, params=importance_params)
     kinds = (trees.BOOSTED, trees.FOREST)
     stored = {k: f"{results}/models/{k}" for k in (*kinds, "ridge")}
-    run_train(spark, splits, {k: f"{results}/best_{k}_params.json" for k in kinds}, stored, target=target, seed=seed)
     ridge_params = f"{results}/best_ridge_params.json"
-    run_baseline(spark, splits, ridge_params, stored["ridge"], optimize=True, target=target, trials=trials, folds=folds,
-                 seed=seed, keys=keys)
-    run_baseline(spark, splits, ridge_params, stored["ridge"], train=True, target=target)
+    settings = [source, size_of(spark, source), target, trials, folds, seed, keys, repeats, spaces, importance_params, guard]
+    stages = {
+        "clean": lambda: run_clean(spark, source, data),
+        "prepare": lambda: run_prepare(
+            spark, f"{data}/dataset_cleaned_final.parquet", splits, text=f"{data}/dataset_splits_encoded.csv",
+            encoders_json=f"{data}/encoders_mappings.json", encoders_csv=f"{data}/encoders_mappings.csv",
+            target=target, seed=seed, keys=keys, guard=guard),
+        "search": lambda: run_search(spark, splits, results, target=target, trials=trials, folds=folds, seed=seed, keys=keys,
+                                     spaces=spaces, resume=resume),
+        "importance": lambda: run_importance(spark, splits, f"{results}/feature_importances.json", target=target,
+                                             repeats=repeats, seed=seed, keys=keys, params=importance_params),
+        "train": lambda: run_train(spark, splits, {k: f"{results}/best_{k}_params.json" for k in kinds}, stored,
+                                   target=target, seed=seed),
+        "baseline": lambda: run_baseline(spark, splits, ridge_params, stored["ridge"], optimize=True, target=target,
+                                         trials=trials, folds=folds, seed=seed, keys=keys),
+        "baseline_fit": lambda: run_baseline(spark, splits, ridge_params, stored["ridge"], train=True, target=target),
+    }
+    mark = ""
+    for name, stage in stages.items():
+        mark = hashlib.md5(repr((mark, name, settings)).encode()).hexdigest()  # a changed setting redoes this stage and those after it
+        note = f"{folder}/stages/{name}.json"
+        if resume and exists(spark, note) and read_report(spark, note)["mark"] == mark:
+            LOG.info("stage %s was finished before", name)
+            continue
+        stage()
+        write_report(spark, {"mark": mark}, f"{note}.new")
+        rename(spark, f"{note}.new", note)  # there is no half a note
     return run_evaluate(spark, splits, stored, f"{results}/eval", target=target)

@@ -93,3 +93,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a file over another within one file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(path), hadoop.Path(to)
+    system = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(new, False)
+    if not system.rename(old, new):
+        raise OSError(f"{path} could not be renamed")
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
