@@ -19,7 +19,8 @@ from gridloom.registry.inputs import (
     split_sql,
     table,
 )
-from gridloom.sources import reports, splits
+from gridloom.sources import reports, splits, tables
+from gridloom.sources.scratch import scratch_path
 
 _LINE = "l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|' || l_linenumber"
 _LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -33,6 +34,20 @@ def shuffle_rank(spark, folder):
     return split.shuffled(table(spark, folder, "lineitem").select(*_LINE_KEYS), keys=_LINE_KEYS)
 
 
+@query(f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, row_number() OVER (ORDER BY {_LINE_ORDER}) AS position, true AS in_order
+           FROM lineitem""")
+def shuffled_rows(spark, folder):
+    """Q1: the rows themselves in shuffled order, in files that follow one another; each row says whether its file keeps to that."""
+    path = scratch_path(spark, "shuffled")
+    tables.write_in_order(split.shuffled(table(spark, folder, "lineitem").select(*_LINE_KEYS), keys=_LINE_KEYS), path, "position", files=8)
+    ranges = tables.position_ranges(spark, path, "position").withColumn("number", F.substring("file", 6, 5).cast("int")).alias("a")
+    before = ranges.alias("b")
+    follows = ranges.join(before, F.col("b.number") < F.col("a.number"), "left").groupBy("a.file", "a.first", "a.last", "a.n").agg(F.max("b.last").alias("top"))
+    kept = follows.select("file", ((F.col("last") - F.col("first") + 1 == F.col("n")) & (F.coalesce("top", F.lit(0)) + 1 == F.col("first"))).alias("in_order"))
+    rows = spark.read.parquet(path).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return rows.join(F.broadcast(kept), "file").drop("file")  # a row per file
+
+
 _HOT_ROWS = 50
 
 

@@ -104,3 +104,19 @@ def write_table(df: DataFrame, folder: str, name: str) -> tuple[str, str]:
 def row_and_column_counts(df: DataFrame) -> tuple[int, int]:
     """A14."""
     return df.count(), len(df.columns)
+
+
+def write_in_order(df: DataFrame, path: str, position: str, *, files: int | None = None) -> None:
+    """Q1: rows as Parquet files that follow one another in the order of a unique position, and are ordered inside.
+
+    Each file holds a range of positions, so its statistics tell a reader of some positions which files to open, and files read by
+    name give all rows in order. ``files`` is the session's number of shuffle partitions unless it is given.
+    """
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(files, position).sortWithinPartitions(position).write.mode("overwrite").parquet(path)
+
+
+def position_ranges(spark: SparkSession, path: str, position: str) -> DataFrame:
+    """``(file, first, last, n)`` of a table written in order, from one scan of the position."""
+    rows = spark.read.parquet(path).select(F.col(position), F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"))
+    return rows.groupBy("file").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count(F.lit(1)).alias("n"))

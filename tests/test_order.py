@@ -167,3 +167,24 @@ def test_rank_in_group_paths_agree(spark):
     for g in (0, 1):
         positions = sorted(r["position"] for r in a if r["g"] == g)
         assert positions == list(range(1, len(positions) + 1))
+
+
+def test_rows_are_stored_in_shuffled_order(spark):
+    import pyarrow.parquet as pq
+
+    from gridloom.operators import split
+    from gridloom.sources import tables
+    from gridloom.sources.scratch import scratch_path
+
+    df = split.shuffled(spark.range(5000).withColumnRenamed("id", "k"), keys=["k"])
+    want = [r["k"] for r in df.orderBy("position").collect()]
+    path = scratch_path(spark, "ordered")
+    tables.write_in_order(df, path, "position", files=6)
+    from pathlib import Path
+
+    files = sorted(Path(path).glob("part-*.parquet"))
+    assert [v for f in files for v in pq.read_table(f)["k"].to_pylist()] == want and len(files) == 6
+    spans = [pq.ParquetFile(f).metadata.row_group(0).column(1).statistics for f in files]
+    assert all(a.max + 1 == b.min for a, b in zip(spans, spans[1:])) and (spans[0].min, spans[-1].max) == (1, 5000)
+    ranges = tables.position_ranges(spark, path, "position").orderBy("first").collect()
+    assert sum(r["n"] for r in ranges) == 5000 and [r["file"] for r in ranges] == [f.name for f in files]
