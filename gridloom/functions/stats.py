@@ -8,11 +8,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A side is constant when so small a share of its squares about the column's mean is left about its own: rounding leaves 1e-16.
+FLAT = 1e-14
+
+
 def pearson(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both sides are present; NULL when one side is constant."""
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+    def flat(side: Column, column: Column) -> Column:
+        away = F.avg(side) - F.avg(column)
+        return F.var_pop(side) <= FLAT * (F.var_pop(side) + away * away)
+
+    return F.when(~(flat(a, x) | flat(b, y)), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def _beta_continued_fraction(a: float, b: float, x: float) -> float:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.columns import numeric_columns, ref, refs, stacked, string_columns
 from gridloom.functions.numeric import round_exact, round_scaled, to_number
-from gridloom.functions.stats import correlation_p_value, pearson
+from gridloom.functions.stats import FLAT, correlation_p_value, pearson
 from gridloom.operators.order import BROADCAST_ROWS, HOT_ROWS, SORT_ROWS, look_up, running_total
 from gridloom.operators.quantile import DIRECT_ROWS, exact_quantiles
 
@@ -149,8 +149,7 @@ def _correlations_by_products(numbers: DataFrame, names: list[str]) -> DataFrame
     covariance = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
     spread_x = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), F.col("n"))
     spread_y = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), F.col("n"))
-    # rounding leaves about 1e-16 of the raw square sum of a constant column
-    flat = (spread_x <= F.col("sxx") * 1e-14) | (spread_y <= F.col("syy") * 1e-14)
+    flat = (spread_x <= F.col("sxx") * FLAT) | (spread_y <= F.col("syy") * FLAT)
     value = F.when(~flat, covariance / F.sqrt(spread_x * spread_y))
     label = F.array(*[F.lit(c) for c in names])
     return sums.select(

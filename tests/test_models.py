@@ -49,6 +49,20 @@ def test_correlations_by_products_equal_generated(spark):
         assert v == pytest.approx(pairs[1][k], abs=1e-9)
 
 
+def test_one_rule_for_flat_columns(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({c: rng.normal(size=60) for c in "abc"})
+    pdf["near"] = 1e6 + 1e-6 * rng.normal(size=60)  # nearly constant: its correlations count
+    pdf["same"] = 0.1
+    pdf["part"] = np.where(np.arange(60) < 30, 7.3, rng.normal(size=60))  # constant where the next is present
+    pdf["half"] = np.where(np.arange(60) < 30, rng.normal(size=60), np.nan)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).astype(object), ", ".join(f"{c} double" for c in pdf))
+    few, many = ({(r[0], r[1]): r[2] for r in profile.correlation_pairs(df, generated_pairs=n).collect()} for n in (100, 0))
+    for pair, value in few.items():
+        assert (value is None) == (many[pair] is None) == ("same" in pair or set(pair) == {"part", "half"}), pair
+        assert value is None or value == pytest.approx(many[pair], abs=1e-3 if "near" in pair else 1e-9)
+
+
 def test_spearman_paths_agree(spark):
     df, _ = frame(spark, 500)
     df = df.select("y", F.round("x1").alias("tied"), F.when(F.col("id") % 4 > 0, F.col("x2")).alias("holes"))
