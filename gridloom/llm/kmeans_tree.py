@@ -87,7 +87,6 @@ class Tree:
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    # of centroids of different length the cosine is what counts: they are unit vectors
     return np.concatenate([(x[i : i + 4096] @ centroids.T).argmax(1) for i in range(0, len(x), 4096)]) if len(x) else np.empty(0, np.int64)
 
 
