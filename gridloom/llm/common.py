@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import io
+import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -16,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of a tokenizer cost it time and memory
+
 #: Word separators: space and the five ASCII controls from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 #: An id that stands for a null one: larger than all others.

@@ -11,7 +11,6 @@ hot, and a repeated task makes the same sequences again.
 
 from __future__ import annotations
 
-import os
 import re
 import sys
 import zlib
@@ -29,8 +28,6 @@ from tokenizers import Tokenizer
 
 from gridloom.llm.common import map_arrow, slices, without_marks
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of its own cost it time and memory
-
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Tokens of a sequence.
 LENGTH = 4096
