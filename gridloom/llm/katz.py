@@ -1,25 +1,29 @@
-"""Katz backoff language model of word pairs: counted, normalised and evaluated by shards.
+"""Katz backoff language model of word runs (three words by default): counted, normalised and evaluated by shards.
 
-A pair seen r times keeps ``d_r * r`` of its count, Good-Turing's discount for r up to ``LARGEST``; what that frees goes to the
-words never seen after the context, in proportion to their probability as single words, with a weight that makes the
-distribution of every context sum to one. The words themselves have ``(c + 0.5) / (N + 0.5 * (V + 1))``, where the last share is that
-of all unknown words together. A probability is evaluated recursively: the pair if seen, else weight times the word.
+A run seen r times keeps ``d_r * r`` of its count: Good-Turing's discount for r up to ``LARGEST``, half a count off beyond, so that every
+context frees something. What is freed goes to the words never seen after the context, in proportion to their probability after
+the shorter context, with a weight that makes the distribution of every context sum to one. Single words are discounted by the same
+rule; what they free is the share of all unknown words together. A probability is evaluated recursively: the run if seen, else
+the weight of its context times the run without its first word. A document begins with as many marks as a context is long.
 
 Texts are hashed once, to units of some million tokens stored in the shared folder (a dictionary and numbers into it). Then
 
-1. units send their words with counts to shards, which answer with the counts of the corpus;
-2. units send their distinct pairs, likewise; the answer also names one unit as owner of each pair;
-3. with both, a unit sums what it can of its documents' scores, and sends for each context what it owns (discounted counts and
-   single-word probabilities) with the places where the context met an unseen word. The shard of the context adds up the
-   first, which gives the weight, and returns the second as parts of scores.
+1. for words, pairs and so on, units send their distinct runs with counts to shards, which answer with the counts of the corpus,
+   whether a held-out text has the run, and which unit owns it. From three words on most runs need not travel: one with a part that
+   occurs once in the training texts and in no held-out one occurs once itself, and one with an unseen part is unseen;
+2. with the answers, a unit sums what it can of its documents' scores, and sends for each context that held-out texts have what its
+   own runs free and what they have in the shorter context, with the places where the context met an unseen word. The shard of the
+   context adds up the first, which gives the weight, and returns the second as parts of scores.
 
-Answers are tables partitioned by shard. A word or pair that every document has is one entry per unit, so nothing grows hot,
+Answers are tables with a row per unit and shard. A run that every document has is one entry per unit, so nothing grows hot,
 and no table passes through the driver, which sees totals and counts of counts only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +32,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import given_id, identified, map_arrow, mix, slices, texts_as_bytes, word_hashes
+from gridloom.llm.common import give_back, given_id, identified, map_arrow, mix, slices, texts_as_bytes, word_hashes
 from gridloom.sources.scratch import written
 
-#: Counts up to this are discounted.
+#: Words of the longest runs.
+ORDER = 3
+#: Counts up to this have a Good-Turing discount.
 LARGEST = 5
 #: Tokens of a unit.
-UNIT_TOKENS = 3_000_000
+UNIT_TOKENS = 1_500_000
 #: Stand for the end of a document as a token, and its beginning as a context.
 END, BEGIN = np.uint64(1), np.uint64(2)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_OWNER = np.uint32(1 << 31)
+_OWNER, _WANTED = np.uint64(1 << 63), np.uint64(1 << 62)
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -54,7 +60,7 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
 
 
 def discounts(seen: list[int], largest: int = LARGEST) -> np.ndarray:
-    """``d_1 .. d_largest`` from the numbers of pairs seen once, twice, ... ``largest + 1`` times.
+    """``d_1 .. d_largest`` from the numbers of runs seen once, twice, ... ``largest + 1`` times.
 
     Where the counts of counts are too few for Good-Turing (a discount outside 0 to 1), half a count is taken off instead.
     """
@@ -69,6 +75,31 @@ def discounts(seen: list[int], largest: int = LARGEST) -> np.ndarray:
     return np.where(np.isfinite(d) & (d > 0) & (d < 1), d, halved)
 
 
+def stays(count: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """Discounted counts."""
+    return np.where(count <= len(kept), kept[np.clip(count, 1, len(kept)) - 1] * count, count - 0.5)
+
+
+@dataclass
+class Runs:
+    """Distinct runs of one length in a unit: hash, places of the run without its last and without its first word, and which run ends
+    at each token. The place after the last stands for the marks of a document's beginning."""
+
+    hashes: np.ndarray
+    prefix: np.ndarray | None
+    suffix: np.ndarray | None
+    at: np.ndarray
+
+
+@dataclass
+class Known:
+    """What the corpus knows of a unit's runs: counts in training texts, whether this unit owns it, whether a held-out text has it."""
+
+    count: np.ndarray
+    owned: np.ndarray
+    wanted: np.ndarray
+
+
 class Unit:
     """Documents of a unit: ids, held-out marks, and tokens as numbers into a dictionary of word hashes."""
 
@@ -93,24 +124,22 @@ class Unit:
     def read(cls, ids: bytes, held: bytes, lengths: bytes, words: bytes, tokens: bytes) -> Unit:
         return cls(np.frombuffer(ids, np.int64), np.frombuffer(held, bool), _unpack(lengths, np.uint32), np.frombuffer(words, np.uint64), _unpack(tokens, np.uint32))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs (context, word) as places in the dictionary, which pair each token is, and counts in training tokens.
-
-        The beginning of a document is a context with the place after the last word.
-        """
-        base = np.int64(len(self.words) + 1)
-        context = np.empty(len(self.tokens), np.int64)
-        context[1:] = self.tokens[:-1]
-        context[np.cumsum(self.lengths, dtype=np.int64) - self.lengths] = base - 1
-        code, at = np.unique(context * base + self.tokens, return_inverse=True)
-        return code // base, code % base, at, np.bincount(at[self.training], minlength=len(code))
-
-    def context_hashes(self) -> np.ndarray:
-        return np.append(self.words, BEGIN)
-
-    def pair_keys(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix(self.context_hashes()[context] * np.uint64(0x9E3779B97F4A7C15) + mix(self.words[word]))
+    def runs(self, order: int) -> list[Runs]:
+        """Runs of 1 to ``order`` words."""
+        levels = [Runs(self.words, None, None, self.tokens)]
+        starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        hashed = mix(self.words)
+        for _ in range(1, order):
+            low = levels[-1]
+            before = np.empty(len(self.tokens), np.int64)
+            before[1:] = low.at[:-1]
+            before[starts] = len(low.hashes)
+            code, first, at = np.unique(before * len(self.words) + self.tokens, return_index=True, return_inverse=True)
+            prefix, word = code // len(self.words), code % len(self.words)
+            with np.errstate(over="ignore"):
+                hashes = mix(np.append(low.hashes, BEGIN)[prefix] * np.uint64(0x9E3779B97F4A7C15) + hashed[word])
+            levels.append(Runs(hashes, prefix.astype(np.uint32), low.at[first], at.astype(np.uint32)))
+        return levels
 
 
 _UNIT = "unit long, ids binary, held binary, lengths binary, words binary, tokens binary"
@@ -149,10 +178,12 @@ def _units(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Unit]]:
 
 
 def _dealt(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the keys of each shard, in their order."""
-    shard = (keys % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    """Places of the keys of each shard, ascending by key."""
+    order = np.argsort(keys)
+    shard = (keys[order] % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    by_shard = np.argsort(shard, kind="stable")
+    order, shard = order[by_shard], shard[by_shard]
+    cuts = np.searchsorted(shard, np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(cuts)):
         yield int(s), order[cuts[s] : cuts[s + 1]]
 
@@ -163,166 +194,216 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], [n for n, _ in fields])
 
 
-_SENT = "shard int, unit long, keys binary, counts binary"
+def _keys_packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as packed differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
 
 
-def _counted(units: DataFrame, kind: int, shards: int) -> DataFrame:
-    """Answers of the given kind (1 words, 2 pairs): counts of the corpus for what each unit sent, and totals of the shard."""
+def _keys_of(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, unit in _units(batch):
-                if kind == 1:
-                    keys, counts = unit.words, np.bincount(unit.tokens[unit.training], minlength=len(unit.words))
-                else:
-                    context, word, _, counts = unit.pairs()
-                    keys = unit.pair_keys(context, word)
-                for s, at in _dealt(keys, shards):
-                    yield _batch([(s, number, _key_bytes(keys[at], kind), _pack(counts[at].astype(np.uint32)))], _SENT)
 
-    def add(group: pa.Table) -> pa.Table:
-        rows = group.select(["shard", "unit", "keys", "counts"]).to_pylist()
-        keys = [_keys(r["keys"], kind) for r in rows]
-        counts = [_unpack(r["counts"], np.uint32) for r in rows]
-        all_keys, all_counts = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-        order = np.argsort(all_keys, kind="stable")
-        sorted_keys = all_keys[order]
-        first = np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(first) - 1
-        total = np.bincount(which, all_counts).astype(np.int64)
-        answer = np.minimum(total, 2**31 - 1).astype(np.uint32)[which]
-        if kind == 2:  # the first that counted a pair owns it
-            counting = np.flatnonzero(all_counts > 0)
-            owner = counting[np.unique(which[counting], return_index=True)[1]]
-            answer[owner] |= _OWNER
-            totals = [int((total == r).sum()) for r in range(1, LARGEST + 2)]
-        else:
-            totals = [int(total.sum()), int((total > 0).sum())]
-        out, start = [], 0
-        for r, k in zip(rows, keys):
-            out.append((r["unit"], kind, r["shard"], _pack(answer[start : start + len(k)]), None))
-            start += len(k)
-        return pa.Table.from_batches([_batch([*out, (None, kind, rows[0]["shard"], None, totals)], _ANSWER)])
+def _settled(runs: Runs, low: Known | None) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that occur once, in this unit, and runs that no training text has, as far as their parts tell."""
+    if low is None:
+        none = np.zeros(len(runs.hashes), bool)
+        return none, none
+    rare, unseen = (low.count == 1) & ~low.wanted, low.count == 0
+    return (np.append(part, False)[runs.prefix] | part[runs.suffix] for part in (rare, unseen))
 
-    return map_arrow(units, send, _SENT).groupBy("shard").applyInArrow(add, _ANSWER)
 
+def _known(levels: list[Runs], bodies: dict[int, dict[int, bytes]], shards: int, first: int = 1) -> list[Known]:
+    """From the shards' answers, for runs of ``first`` and more words. Single words and pairs are asked for whole."""
+    known: list[Known] = []
+    for length, runs in enumerate(levels[first - 1 :], first):
+        once, unseen = _settled(runs, known[-1] if length > 2 else None)
+        open_ = np.flatnonzero(~(once | unseen))
+        answer = np.where(once, _OWNER | np.uint64(1), np.uint64(0))
+        for s, at in _dealt(runs.hashes[open_], shards):
+            answer[open_[at]] = _unpack(bodies[length][s], np.uint64)
+        known.append(Known((answer & ~(_OWNER | _WANTED)).astype(np.int64), (answer & _OWNER) > 0, (answer & _WANTED) > 0))
+    return known
 
-def _key_bytes(keys: np.ndarray, kind: int) -> bytes:
-    """Whole hashes of words; of pairs the upper 40 bits, which tell those of a shard apart."""
-    return keys.tobytes() if kind == 1 else (keys >> np.uint64(32)).astype("<u4").tobytes() + (keys >> np.uint64(24)).astype(np.uint8).tobytes()
 
+_SENT = "shard int, unit long, keys binary, counts binary, settled long"
 
-def _keys(data: bytes, kind: int) -> np.ndarray:
-    if kind == 1:
-        return np.frombuffer(data, np.uint64)
-    n = len(data) // 5
-    return (np.frombuffer(data, "<u4", n).astype(np.uint64) << np.uint64(8)) | np.frombuffer(data, np.uint8, n, 4 * n)
 
+def _sent(number: int, unit: Unit, runs: Runs, low: Known | None, shards: int) -> Iterator[tuple]:
+    """Rows of ``_SENT``: keys with counts and marks of held-out texts, and how many runs are settled as occurring once."""
+    once, unseen = _settled(runs, low)
+    n = len(runs.hashes)
+    counts = np.bincount(runs.at[unit.training], minlength=n) * 2 + (np.bincount(runs.at[~unit.training], minlength=n) > 0)
+    open_ = np.flatnonzero(~(once | unseen))
+    for s, at in _dealt(runs.hashes[open_], shards):
+        yield s, number, _keys_packed(runs.hashes[open_[at]]), _pack(counts[open_[at]].astype(np.uint32)), 0
+    if once.any():
+        yield number % shards, number, None, None, int(once.sum())
 
-_PART = "shard int, unit long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
-_SCORE = "unit long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 
+def _bodies(told: pa.Table) -> dict[int, dict[int, bytes]]:
+    bodies: dict[int, dict[int, bytes]] = {}
+    for r in told.select(["kind", "shard", "body"]).to_pylist():
+        bodies.setdefault(r["kind"], {})[r["shard"]] = r["body"]
+    return bodies
 
-def _answers(keys: np.ndarray, rows: dict[int, bytes], shards: int) -> np.ndarray:
-    out = np.zeros(len(keys), np.uint32)
-    for s, at in _dealt(keys, shards):
-        out[at] = _unpack(rows[s], np.uint32)
-    return out
 
+def _counted(units: DataFrame, length: int, shorter: DataFrame | None, shards: int) -> DataFrame:
+    """Answers for runs of ``length`` words: what the corpus knows of each unit's, and totals of each shard."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, unit in _units(batch):
+                for row in _sent(number, unit, unit.runs(length)[-1], None, shards):
+                    yield _batch([row], _SENT)
+
+    def send_open(held: pa.Table, told: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        for number, unit in _units(held):
+            levels = unit.runs(length)
+            rows += _sent(number, unit, levels[-1], _known(levels[:-1], _bodies(told), shards, 2)[-1], shards)
+        give_back()
+        return pa.Table.from_batches([_batch(rows, _SENT)])
+
+    def add(group: pa.Table) -> pa.Table:
+        rows = group.select(["shard", "unit", "keys", "counts", "settled"]).to_pylist()
+        shard, single = rows[0]["shard"], sum(r["settled"] for r in rows)
+        rows = [r for r in rows if r["keys"] is not None]
+        out, totals = [], np.zeros(LARGEST + 3, np.int64)
+        if rows:
+            keys = [_keys_of(r["keys"]) for r in rows]
+            cuts = np.cumsum([0] + [len(k) for k in keys])
+            keys = np.concatenate(keys)
+            counts = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows])
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            which = np.empty(len(order), np.int64)
+            which[order] = np.cumsum(np.concatenate(([True], keys[1:] != keys[:-1]))) - 1
+            total = np.bincount(which, counts // 2).astype(np.int64)
+            wanted = np.bincount(which, counts % 2) > 0
+            answer = (total.astype(np.uint64) | np.where(wanted, _WANTED, np.uint64(0)))[which]
+            counting = np.flatnonzero(counts >= 2)  # the first that counted a run owns it
+            answer[counting[np.unique(which[counting], return_index=True)[1]]] |= _OWNER
+            totals[:-2] = [(total == r).sum() for r in range(1, LARGEST + 2)]
+            totals[-2:] = total.sum(), (total > 0).sum()
+            out = [(r["unit"], length, shard, _pack(answer[i:j]), None) for r, i, j in zip(rows, cuts, cuts[1:])]
+        totals[[0, -2, -1]] += single
+        give_back()
+        return pa.Table.from_batches([_batch([*out, (None, length, shard, None, totals.tolist())], _ANSWER)])
+
+    if shorter is None:
+        sent = map_arrow(units, send, _SENT)
+    else:
+        sent = units.groupBy("unit").cogroup(shorter.groupBy("unit")).applyInArrow(send_open, _SENT)
+    return sent.groupBy("shard").applyInArrow(add, _ANSWER)
+
+
+@dataclass(frozen=True)
+class Totals:
+    """Of the training texts, by length of run: numbers of distinct runs seen 1 to ``LARGEST + 1`` times; tokens and distinct tokens."""
+
+    seen: list[list[int]]
+    tokens: int
+    distinct: int
+
+    def kept(self) -> list[np.ndarray]:
+        return [discounts(seen) for seen in self.seen]
+
+    def unknown(self) -> float:
+        """Probability of all unknown words together: what the words' discounts free."""
+        if not self.tokens:
+            return 1.0
+        n, r = np.array(self.seen[0][:LARGEST], float), np.arange(1, LARGEST + 1)
+        return float((n * r * (1 - self.kept()[0])).sum() + 0.5 * (self.distinct - n.sum())) / self.tokens
 
-def _evaluated(units: DataFrame, answers: DataFrame, shards: int, n: int, v: int, kept: np.ndarray) -> DataFrame:
-    """Scores without the weights of contexts (kind 0), and what the contexts' shards need (kind 1)."""
+
+_PART = "shard int, unit long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
+_SCORE = "unit long, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
+
+
+def _evaluated(units: DataFrame, answers: DataFrame, shards: int, totals: Totals) -> DataFrame:
+    """Scores without the weights of contexts (kind 0), and what the shards of contexts need (kind: words of the run)."""
 
     def run(held: pa.Table, told: pa.Table) -> pa.Table:
         rows = []
         for number, unit in _units(held):
-            bodies: dict[int, dict[int, bytes]] = {1: {}, 2: {}}
-            for r in told.select(["kind", "shard", "body"]).to_pylist():
-                bodies[r["kind"]][r["shard"]] = r["body"]
-            rows += _evaluate_unit(number, unit, bodies, shards, n, v, kept)
+            rows += _evaluate_unit(number, unit, _bodies(told), shards, totals)
+        give_back()
         return pa.Table.from_batches([_batch(rows, _PART)])
 
     return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(run, _PART)
 
 
-def _evaluate_unit(number: int, unit: Unit, bodies: dict, shards: int, n: int, v: int, kept: np.ndarray) -> list[tuple]:
-    count = _answers(unit.words, bodies[1], shards).astype(float)
-    single = (count + 0.5) / (n + 0.5 * (v + 1))
-    context, word, at, _ = unit.pairs()
-    told = _answers(unit.pair_keys(context, word), bodies[2], shards)
-    owned, pair_count = (told & _OWNER) > 0, (told & ~_OWNER).astype(np.int64)
-    n_training = count[unit.words == END]
-    of_context = np.append(count, n_training)  # every word is a context as often as it occurs; the beginning, once a document
-    stays = np.where(pair_count <= len(kept), kept[np.minimum(pair_count, len(kept)) - 1], 1.0) * pair_count  # discounted count
-    seen = pair_count > 0
-    log_single = np.log10(single)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        value = np.where(seen, np.log10(stays) - np.log10(of_context[context]), log_single[word])
-    docs = len(unit.ids)
-    score = np.bincount(unit.doc, value[at], docs)
-    base = np.bincount(unit.doc, log_single[unit.tokens], docs)
-    known = np.bincount(unit.doc, count[unit.tokens] > 0, docs).astype(np.int64)
-    rows = [(int(unit.ids[0] % shards), number, 0, unit.ids.tobytes(), unit.held.tobytes(), unit.lengths.astype(np.int64).tobytes(), known.tobytes(), base.tobytes(), score.tobytes())]
-
-    m = len(unit.words) + 1
-    mine = owned & seen
-    mass = np.bincount(context[mine], stays[mine], m)
-    covered = np.bincount(context[mine], single[word[mine]], m)
-    discounted = np.bincount(context[mine & (pair_count <= len(kept))], minlength=m) > 0
-    # Tokens whose value depends on sums over the whole context: unseen pairs, and seen ones where nothing may be discounted.
-    small_here = np.bincount(context[seen & (pair_count <= len(kept))], minlength=m) > 0
-    asks = np.where(seen, ~small_here[context], of_context[context] > 0)[at]
-    token_context, token_seen = context[at[asks]], seen[at[asks]]
-    code, times = np.unique((token_context * 2 + token_seen) * np.int64(docs) + unit.doc[asks], return_counts=True)
-    ask_doc, ask_seen, ask_context = code % docs, (code // docs) % 2, code // docs // 2
-    asked = np.bincount(ask_context, minlength=m) > 0
-    sent = np.flatnonzero((np.bincount(context[mine], minlength=m) > 0) | asked)
-    hashes = unit.context_hashes()
-    for s, place in _dealt(hashes[sent], shards):
-        own = sent[place]
-        number_of = np.full(m, -1)
-        number_of[own] = np.arange(len(own))
-        take = number_of[ask_context] >= 0
-        asks_packed = np.stack([number_of[ask_context[take]], ask_doc[take], times[take] * 2 + ask_seen[take]]).astype(np.uint32)
-        rows.append((
-            s, number, 1, hashes[own].tobytes(), mass[own].tobytes(), covered[own].astype(np.float32).tobytes(), _pack(of_context[own].astype(np.uint32)),
-            discounted[own].tobytes(), _pack(asks_packed.ravel()),
-        ))
+def _evaluate_unit(number: int, unit: Unit, bodies: dict, shards: int, totals: Totals) -> list[tuple]:
+    levels = unit.runs(len(totals.seen))
+    known = _known(levels, bodies, shards)
+    count, docs, kept = known[0].count, len(unit.ids), totals.kept()
+    beginnings = int(count[unit.words == END][0])  # training documents
+    chance = np.where(count > 0, stays(count, kept[0]) / max(totals.tokens, 1), totals.unknown())
+    value = np.log10(chance)
+    rows, steps = [], []
+    for length in range(2, len(levels) + 1):
+        runs, low, own = levels[length - 1], known[length - 2], known[length - 1]
+        times = np.append(low.count, beginnings)[runs.prefix]  # of the context
+        seen, left = own.count > 0, stays(own.count, kept[length - 1])
+        mine = own.owned & seen & np.append(low.wanted, True)[runs.prefix]
+        freed = np.bincount(runs.prefix[mine], (own.count - left)[mine] / times[mine], len(low.count) + 1)
+        covered = np.bincount(runs.prefix[mine], chance[runs.suffix[mine]], len(low.count) + 1)
+        steps.append((seen, times, freed, covered))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chance = np.where(seen, left / times, np.nan)  # that of an unseen run is never asked for: its context needs a weight
+            value = np.where(seen, np.log10(chance), value[runs.suffix])
+    base = np.log10((count + 0.5) / (totals.tokens + 0.5 * (totals.distinct + 1)))
+    sums = [np.bincount(unit.doc, v, docs) for v in ((count > 0)[unit.tokens], base[unit.tokens], value[levels[-1].at])]
+    columns = (unit.ids, unit.held, unit.lengths.astype(np.int64), sums[0].astype(np.int64), sums[1], sums[2])
+    rows.append((number % shards, number, 0, *(c.tobytes() for c in columns)))
+
+    going = np.arange(len(unit.tokens))  # tokens whose longer runs are unseen
+    for length in range(len(levels), 1, -1):
+        runs, (seen, times, freed, covered) = levels[length - 1], steps[length - 2]
+        going = going[~seen[runs.at[going]]]
+        asks = going[times[runs.at[going]] > 0]
+        code, often = np.unique(runs.prefix[runs.at[asks]].astype(np.int64) * docs + unit.doc[asks], return_counts=True)
+        context, doc = code // docs, code % docs
+        needed = freed > 0
+        needed[context] = True
+        needed = np.flatnonzero(needed)
+        hashes = np.append(levels[length - 2].hashes, BEGIN)
+        place = np.full(len(hashes), -1)
+        for s, at in _dealt(hashes[needed], shards):
+            sent = needed[at]
+            place[sent] = np.arange(len(sent))
+            take = place[context] >= 0
+            asked = np.stack([place[context[take]], doc[take], often[take]]).astype(np.uint32)
+            rows.append((s, number, length, _keys_packed(hashes[sent]), freed[sent].tobytes(), covered[sent].tobytes(), _pack(asked.ravel()), None, None))
+            place[sent] = -1
     return rows
 
 
 def _weighted(parts: DataFrame) -> DataFrame:
-    """Shares of the weights in the documents' scores (kind 1); rows of kind 0 pass."""
+    """Shares of the contexts' weights in the documents' scores; rows of kind 0 pass."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.select(["unit", "kind", "a", "b", "c", "d", "e", "f"]).to_pylist()
-        out = [tuple(r.values()) for r in rows if r["kind"] == 0]
-        rows = [r for r in rows if r["kind"] == 1]
-        if rows:
-            keys = [np.frombuffer(r["a"], np.uint64) for r in rows]
-            names, which = np.unique(np.concatenate(keys), return_inverse=True)
-            mass, covered, small = (
-                np.bincount(which, np.concatenate([np.frombuffer(r[c], k) for r in rows]), len(names)) for c, k in (("b", np.float64), ("c", np.float32), ("e", bool))
-            )
-            times = np.zeros(len(names))
-            times[which] = np.concatenate([_unpack(r["d"], np.uint32) for r in rows])
-            whole = times + (small == 0)  # a context that frees nothing counts once more, for unseen words
-            with np.errstate(divide="ignore", invalid="ignore"):
-                weight = np.log10(np.maximum(1 - mass / whole, 1e-12) / np.maximum(1 - covered, 1e-12))
-                lowered = np.log10(times / whole)
-            start = 0
-            for r, k in zip(rows, keys):
-                own = which[start : start + len(k)]
-                start += len(k)
-                place, doc, packed = _unpack(r["f"], np.uint32).reshape(3, -1).astype(np.int64)
-                if len(doc):
-                    part = np.where(packed % 2 == 1, lowered[own[place]], weight[own[place]]) * (packed // 2)
-                    docs, at = np.unique(doc, return_inverse=True)
-                    out.append((r["unit"], 1, docs.astype(np.uint32).tobytes(), np.bincount(at, part).tobytes(), None, None, None, None))
+        if rows[0]["kind"] == 0:
+            return pa.Table.from_batches([_batch([tuple(r.values()) for r in rows], _SCORE)])
+        keys = [_keys_of(r["a"]) for r in rows]
+        names, which = np.unique(np.concatenate(keys), return_inverse=True)
+        freed, covered = (np.bincount(which, np.concatenate([np.frombuffer(r[c], np.float64) for r in rows]), len(names)) for c in "bc")
+        with np.errstate(divide="ignore"):
+            weight = np.log10(freed / np.maximum(1 - covered, 1e-15))
+        start, out = 0, []
+        for r, k in zip(rows, keys):
+            own = which[start : start + len(k)]
+            start += len(k)
+            place, doc, often = _unpack(r["d"], np.uint32).reshape(3, -1).astype(np.int64)
+            if len(doc):
+                docs, at = np.unique(doc, return_inverse=True)
+                part = np.bincount(at, weight[own[place]] * often)
+                out.append((r["unit"], r["kind"], docs.astype(np.uint32).tobytes(), part.tobytes(), None, None, None, None))
+        give_back()
         return pa.Table.from_batches([_batch(out, _SCORE)])
 
-    return parts.groupBy("shard").applyInArrow(run, _SCORE)
+    return parts.groupBy("shard", "kind").applyInArrow(run, _SCORE)
 
 
 _ROW = "_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -334,7 +415,7 @@ def _summed(parts: DataFrame) -> DataFrame:
         main = next(r for r in rows if r["kind"] == 0)
         score = np.frombuffer(main["f"], np.float64).copy()
         for r in rows:
-            if r["kind"] == 1:
+            if r["kind"] > 0:
                 score[np.frombuffer(r["a"], np.uint32)] += np.frombuffer(r["b"], np.float64)
         columns = [np.frombuffer(main[c], k) for c, k in (("a", np.int64), ("b", bool), ("c", np.int64), ("d", np.int64), ("e", np.float64))]
         return pa.table([pa.array(c) for c in (*columns, score)], [c.split()[0] for c in _ROW.split(", ")])
@@ -342,22 +423,31 @@ def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy("unit").applyInArrow(run, _ROW)
 
 
-def score_documents(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+def score_documents(
+    df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", unit_tokens: int = UNIT_TOKENS, order: int = ORDER
+) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row; scores are log10 probabilities.
 
-    The model learns from rows for which ``held_out`` is not true. Words are runs of other characters than space and the
-    controls from tab to carriage return, A-Z lower-cased; every text has one end token more. A null or empty text is the end
-    alone; a null id comes back null; repeated rows count and are scored each; other columns are dropped. Without any training
-    row all words are unknown.
+    The model learns runs of up to ``order`` words (2 at least) from rows for which ``held_out`` is not true. Words are runs of other
+    characters than space and the controls from tab to carriage return, A-Z lower-cased; every text has one end token more. A null or
+    empty text is the end alone; a null id comes back null; repeated rows count and are scored each; other columns are dropped. Without
+    any training row all words are unknown. The base score is that of single words by add-half, whatever the model's own are.
     """
+    if order < 2:
+        raise ValueError("a backoff model needs runs of two words at least")
     named = identified(df.withColumn("_out", F.coalesce(held_out, F.lit(False))), id_col, text_col, ("_out",))
     docs = named.select("_id", "_text", F.col("_kept._out").alias("_held"))
     shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = written(encoded(docs, unit_tokens), "units")
-    words = written(_counted(units, 1, shards), "words")
-    pairs = written(_counted(units, 2, shards), "pairs")
-    n, v = (words.select(F.sum(F.get("totals", F.lit(i)))).first()[0] or 0 for i in range(2))
-    seen = pairs.select(*(F.sum(F.get("totals", F.lit(i))) for i in range(LARGEST + 1))).first()
-    answers = words.where("unit is not null").unionByName(pairs.where("unit is not null"))
-    scored = _summed(_weighted(_evaluated(units, answers, shards, n, v, discounts([x or 0 for x in seen]))))
-    return scored.select(given_id("_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    answers: list[DataFrame] = []
+    totals = []
+    for length in range(1, order + 1):
+        shorter = reduce(DataFrame.unionByName, answers[1:]) if length > 2 else None
+        counted = written(_counted(units, length, shorter, shards), f"runs-{length}")
+        row = counted.select(*(F.sum(F.get("totals", F.lit(i))) for i in range(LARGEST + 3))).first()
+        totals.append([x or 0 for x in row])
+        answers.append(counted.where("unit is not null"))
+    known = Totals([t[:-2] for t in totals], *totals[0][-2:])
+    scored = _summed(_weighted(_evaluated(units, reduce(DataFrame.unionByName, answers), shards, known)))
+    n = F.lit(known.tokens).cast("long")
+    return scored.select(given_id("_id").alias(id_col), "held_out", "n_tokens", "n_known", n.alias("train_tokens"), "base_score", "score")

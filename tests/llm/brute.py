@@ -15,52 +15,58 @@ END, BEGIN = ("end",), ("begin",)
 
 
 class Katz:
-    """The model of word pairs, by dictionaries."""
+    """The model of word runs, by dictionaries."""
 
-    def __init__(self, texts: list[list]):
-        self.single, self.pair, self.context = Counter(), Counter(), Counter()
+    def __init__(self, texts: list[list], order: int = 3):
+        self.order, self.docs, self.count, self.after = order, len(texts), Counter(), defaultdict(set)
         for words in texts:
-            for a, b in zip([BEGIN, *words], [*words, END]):
-                self.single[b] += 1
-                self.pair[a, b] += 1
-                self.context[a] += 1
-        self.n, self.v = sum(self.single.values()), len(self.single)
-        times = Counter(self.pair.values())
-        self.kept = discounts([times[r] for r in range(1, LARGEST + 2)])
-        self.after = defaultdict(list)
-        for a, b in self.pair:
-            self.after[a].append(b)
+            for gram in self.grams(words):
+                for k in range(1, order + 1):
+                    self.count[gram[-k:]] += 1
+                    self.after[gram[-k:-1]].add(gram[-1])
+        self.n, self.v = sum(self.count[w,] for w in self.after[()]), len(self.after[()])
+        self.kept = []
+        for k in range(1, order + 1):
+            times = Counter(c for gram, c in self.count.items() if len(gram) == k)
+            self.kept.append(discounts([times[r] for r in range(1, LARGEST + 2)]))
+
+    def grams(self, words: list) -> list[tuple]:
+        padded = [BEGIN] * (self.order - 1) + [*words, END]
+        return [tuple(padded[i : i + self.order]) for i in range(len(words) + 1)]
 
     def word(self, w) -> float:
-        return (self.single[w] + 0.5) / (self.n + 0.5 * (self.v + 1))
+        return (self.count[w,] + 0.5) / (self.n + 0.5 * (self.v + 1))
 
-    def stays(self, a, b) -> float:
-        r = self.pair[a, b]
-        return r * (self.kept[r - 1] if r <= LARGEST else 1)
+    def stays(self, gram) -> float:
+        r = self.count[gram]
+        return r * self.kept[len(gram) - 1][r - 1] if r <= LARGEST else r - 0.5
 
-    def whole(self, a) -> int:
-        return self.context[a] + (not any(self.pair[a, b] <= LARGEST for b in self.after[a]))
+    def times(self, context) -> int:
+        return self.n if not context else self.docs if set(context) == {BEGIN} else self.count[context]
 
-    def weight(self, a) -> float:
-        left = 1 - sum(self.stays(a, b) for b in self.after[a]) / self.whole(a)
-        return left / (1 - sum(self.word(b) for b in self.after[a]))
+    def weight(self, context) -> float:
+        left = 1 - sum(self.stays((*context, w)) for w in self.after[context]) / self.times(context)
+        return left / (1 - sum(self.probability((*context[1:], w)) for w in self.after[context]))
 
-    def probability(self, a, b) -> float:
-        if self.pair[a, b]:
-            return self.stays(a, b) / self.whole(a)
-        return (self.weight(a) if self.context[a] else 1.0) * self.word(b)
+    def probability(self, gram) -> float:
+        context = gram[:-1]
+        if self.count[gram]:
+            return self.stays(gram) / self.times(context)
+        if not context:
+            return 1 - sum(self.stays((w,)) for w in self.after[()]) / self.n if self.n else 1.0
+        return (self.weight(context) if self.times(context) else 1.0) * self.probability(gram[1:])
 
 
-def katz_scores(rows: list[tuple[int, str | None]]) -> list[tuple]:
+def katz_scores(rows: list[tuple[int, str | None]], order: int = 3) -> list[tuple]:
     words = {i: WORD.findall((t or "").translate(LOWER)) for i, t in rows}
     out = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
-    model = Katz([words[i] for i, _ in rows if not out[i]])
+    model = Katz([words[i] for i, _ in rows if not out[i]], order)
     made = []
     for i, _ in rows:
         w = words[i]
         made.append((
-            i, out[i], len(w) + 1, sum(model.single[x] > 0 for x in [*w, END]), model.n, sum(math.log10(model.word(x)) for x in [*w, END]),
-            sum(math.log10(model.probability(a, b)) for a, b in zip([BEGIN, *w], [*w, END])),
+            i, out[i], len(w) + 1, sum(model.count[x,] > 0 for x in [*w, END]), model.n, sum(math.log10(model.word(x)) for x in [*w, END]),
+            sum(math.log10(model.probability(gram)) for gram in model.grams(w)),
         ))
     return made
 

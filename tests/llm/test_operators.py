@@ -476,21 +476,22 @@ def test_likeness_is_of_all_anchors_by_position(spark):
 # 9 Katz backoff
 
 
-@pytest.mark.parametrize("unit_tokens", [katz.UNIT_TOKENS, 400])
-def test_katz(spark, unit_tokens):
+@pytest.mark.parametrize(("unit_tokens", "order"), [(katz.UNIT_TOKENS, katz.ORDER), (400, katz.ORDER), (400, 2), (300, 4)])
+def test_katz(spark, unit_tokens, order):
     r = random.Random(9)
     words = [f"w{i}" for i in range(40)]
     rows = [(i, " ".join(r.choice(words[: r.choice([3, 10, 40])]) for _ in range(r.randint(0, 30)))) for i in range(150)]
     rows += [(900, None), (901, ""), (902, "Zzz NEW w1 q"), (903, "a b " * 50), (904, "once W1")]
-    got = sorted(tuple(x) for x in katz.score_documents(texts(spark, rows), crc_fold(F.col("doc_id")) == 1, unit_tokens=unit_tokens).collect())
-    for a, b in zip(got, sorted(brute.katz_scores(rows)), strict=True):
+    got = sorted(tuple(x) for x in katz.score_documents(texts(spark, rows), crc_fold(F.col("doc_id")) == 1, unit_tokens=unit_tokens, order=order).collect())
+    for a, b in zip(got, sorted(brute.katz_scores(rows, order)), strict=True):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=1e-5)
 
 
 def test_katz_is_normalised_and_handles_few_rows(spark):
     model = brute.Katz([["a", "b", "a", "c"], ["a", "b"], ["d"] * 30] * 3)
-    for context in [brute.BEGIN, "a", "b", "d"]:
-        assert sum(model.probability(context, w) for w in model.single) + model.probability(context, "unknown") == pytest.approx(1)
+    contexts = {gram[i:-1] for words in (["a", "b", "a", "c"], ["b", "d", "d"], ["new"]) for gram in model.grams(words) for i in range(3)}
+    for context in contexts:
+        assert sum(model.probability((*context, w)) for w in [*model.after[()], "unknown"]) == pytest.approx(1)
     rows = [(1, "a b"), (1, "a b"), (None, "a")]
     got = katz.score_documents(texts(spark, rows), F.lit(True)).collect()
     assert {x.train_tokens for x in got} == {0} and {x.n_known for x in got} == {0} and {x.score for x in got} == {0.0} and None in {x.doc_id for x in got}
