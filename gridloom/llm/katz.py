@@ -194,9 +194,9 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], [n for n, _ in fields])
 
 
-def _keys_packed(keys: np.ndarray) -> bytes:
-    """Ascending keys as packed differences."""
-    return _pack(np.diff(keys, prepend=np.uint64(0)))
+def _keys_packed(keys: np.ndarray, shards: int) -> bytes:
+    """Ascending keys of a shard as packed differences, without the remainder that they share."""
+    return _pack(np.diff(keys // np.uint64(shards), prepend=np.uint64(0)))
 
 
 def _keys_of(data: bytes) -> np.ndarray:
@@ -235,7 +235,7 @@ def _sent(number: int, unit: Unit, runs: Runs, low: Known | None, shards: int) -
     counts = np.bincount(runs.at[unit.training], minlength=n) * 2 + (np.bincount(runs.at[~unit.training], minlength=n) > 0)
     open_ = np.flatnonzero(~(once | unseen))
     for s, at in _dealt(runs.hashes[open_], shards):
-        yield s, number, _keys_packed(runs.hashes[open_[at]]), _pack(counts[open_[at]].astype(np.uint32)), 0
+        yield s, number, _keys_packed(runs.hashes[open_[at]], shards), _pack(counts[open_[at]].astype(np.uint32)), 0
     if once.any():
         yield number % shards, number, None, None, int(once.sum())
 
@@ -373,8 +373,11 @@ def _evaluate_unit(number: int, unit: Unit, bodies: dict, shards: int, totals: T
             sent = needed[at]
             place[sent] = np.arange(len(sent))
             take = place[context] >= 0
-            asked = np.stack([place[context[take]], doc[take], often[take]]).astype(np.uint32)
-            rows.append((s, number, length, _keys_packed(hashes[sent]), freed[sent].tobytes(), covered[sent].tobytes(), _pack(asked.ravel()), None, None))
+            asked = np.stack([place[context[take]], doc[take], often[take]])
+            asked = asked[:, np.argsort(asked[0], kind="stable")]
+            asked[0] = np.diff(asked[0], prepend=0)
+            packed = _keys_packed(hashes[sent], shards), _pack(freed[sent]), _pack(covered[sent]), _pack(asked.astype(np.uint32).ravel())
+            rows.append((s, number, length, *packed, None, None))
             place[sent] = -1
     return rows
 
@@ -388,7 +391,7 @@ def _weighted(parts: DataFrame) -> DataFrame:
             return pa.Table.from_batches([_batch([tuple(r.values()) for r in rows], _SCORE)])
         keys = [_keys_of(r["a"]) for r in rows]
         names, which = np.unique(np.concatenate(keys), return_inverse=True)
-        freed, covered = (np.bincount(which, np.concatenate([np.frombuffer(r[c], np.float64) for r in rows]), len(names)) for c in "bc")
+        freed, covered = (np.bincount(which, np.concatenate([_unpack(r[c], np.float64) for r in rows]), len(names)) for c in "bc")
         with np.errstate(divide="ignore"):
             weight = np.log10(freed / np.maximum(1 - covered, 1e-15))
         start, out = 0, []
@@ -398,7 +401,7 @@ def _weighted(parts: DataFrame) -> DataFrame:
             place, doc, often = _unpack(r["d"], np.uint32).reshape(3, -1).astype(np.int64)
             if len(doc):
                 docs, at = np.unique(doc, return_inverse=True)
-                part = np.bincount(at, weight[own[place]] * often)
+                part = np.bincount(at, weight[own[np.cumsum(place)]] * often)
                 out.append((r["unit"], r["kind"], docs.astype(np.uint32).tobytes(), part.tobytes(), None, None, None, None))
         give_back()
         return pa.Table.from_batches([_batch(out, _SCORE)])
