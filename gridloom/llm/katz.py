@@ -203,6 +203,11 @@ def _keys_of(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
 
+def _rounded(values: np.ndarray) -> np.ndarray:
+    """To 36 bits after the point, about eleven decimals, so that two bytes of eight are zero."""
+    return ((values.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64(0xFFFF)).view(np.float64)
+
+
 def _settled(runs: Runs, low: Known | None) -> tuple[np.ndarray, np.ndarray]:
     """Runs that occur once, in this unit, and runs that no training text has, as far as their parts tell."""
     if low is None:
@@ -376,7 +381,7 @@ def _evaluate_unit(number: int, unit: Unit, bodies: dict, shards: int, totals: T
             asked = np.stack([place[context[take]], doc[take], often[take]])
             asked = asked[:, np.argsort(asked[0], kind="stable")]
             asked[0] = np.diff(asked[0], prepend=0)
-            packed = _keys_packed(hashes[sent], shards), _pack(freed[sent]), _pack(covered[sent]), _pack(asked.astype(np.uint32).ravel())
+            packed = _keys_packed(hashes[sent], shards), _pack(freed[sent].astype(np.float32)), _pack(_rounded(covered[sent])), _pack(asked.astype(np.uint32).ravel())
             rows.append((s, number, length, *packed, None, None))
             place[sent] = -1
     return rows
@@ -391,7 +396,7 @@ def _weighted(parts: DataFrame) -> DataFrame:
             return pa.Table.from_batches([_batch([tuple(r.values()) for r in rows], _SCORE)])
         keys = [_keys_of(r["a"]) for r in rows]
         names, which = np.unique(np.concatenate(keys), return_inverse=True)
-        freed, covered = (np.bincount(which, np.concatenate([_unpack(r[c], np.float64) for r in rows]), len(names)) for c in "bc")
+        freed, covered = (np.bincount(which, np.concatenate([_unpack(r[c], k) for r in rows]), len(names)) for c, k in (("b", np.float32), ("c", np.float64)))
         with np.errstate(divide="ignore"):
             weight = np.log10(freed / np.maximum(1 - covered, 1e-15))
         start, out = 0, []
