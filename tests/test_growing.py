@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import growing, sampler, search, trees
+from gridloom.operators import attribution, forests, growing, sampler, search, trees
 from gridloom.sources import models
 from gridloom.sources.scratch import scratch_path
 
@@ -203,3 +203,30 @@ def test_search_of_trees(spark):
     found, metrics = trees.search_trees(df, "y", trees.BOOSTED, trials=2, folds=2, keys=["id"], drop=["id"], space=space, ledger=ledger)
     again, _ = trees.search_trees(df, "y", trees.BOOSTED, trials=2, folds=2, keys=["id"], drop=["id"], space=space, ledger=ledger)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, again.collect())) and metrics.count() == 4
+
+
+@pytest.mark.parametrize("local_rows", [growing.LOCAL_ROWS, 40])
+def test_a_large_forest_stays_a_table_and_predicts_the_same(spark, monkeypatch, local_rows):
+    x, y = rows(500)
+    df = table(spark, x, y)
+    monkeypatch.setattr(growing.plant_forest, "__kwdefaults__", growing.plant_forest.__kwdefaults__ | {"local_rows": local_rows})
+    monkeypatch.setattr(forests, "SCORED_ROWS", 30)  # subtrees that more rows reach are copied
+    params = {"n_estimators": 4, "min_samples_leaf": 2, "max_features": 0.67}
+    small, _ = trees.fit_trees(df, "y", trees.FOREST, params, features=FEATURES)
+    with monkeypatch.context() as m:
+        m.setattr(growing, "grafted_trees", None)  # nothing below the tops comes to the driver
+        m.setattr(forests, "grafted_trees", None)
+        large, _ = trees.fit_trees(df, "y", trees.FOREST, params, features=FEATURES, model_nodes=10)
+        loaded = models.load_model(models.save_model(large, scratch_path(spark, "large")))
+        assert isinstance(large.stages[-1], forests.ForestModel) and large.stages[-1].planted.tops[0].feature.count(-1) < 60
+        assert predicted(large, df) == pytest.approx(predicted(small, df), abs=1e-9)
+        assert (df.count(), ["id", *FEATURES, "y", "features", "prediction"]) == (loaded.transform(df).count(), loaded.transform(df).columns)
+        odd = df.union(df.limit(50)).withColumn("a", F.col("a") * 3 - 20)
+        assert predicted(loaded, odd.dropDuplicates(["id"])) == pytest.approx(predicted(small, odd.dropDuplicates(["id"])), abs=1e-9)
+        assert loaded.transform(odd).count() == 550 and loaded.transform(df.where("false")).count() == 0
+    assert loaded.stages[-1].featureImportances.toArray() == pytest.approx(small.stages[-1].featureImportances.toArray(), abs=1e-9)
+    assert loaded.stages[-1].totalNumNodes == small.stages[-1].totalNumNodes
+    path = models.save_model(small, scratch_path(spark, "small"))
+    for (nodes, weights), stage in ((models.stored_trees(spark, loaded, ""), loaded), (models.stored_trees(spark, small, path), small)):
+        values, base = attribution.tree_attributions(stage.transform(df), ["id", "prediction"], FEATURES, nodes, weights)
+        assert values.selectExpr("max(abs(aggregate(values, CAST(0 AS DOUBLE), (s, v) -> s + v) + %r - prediction)) AS gap" % base).first()["gap"] < 1e-6
