@@ -4,10 +4,12 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import order, quantile, split
+from gridloom.operators import order, profile, quantile, split
 from gridloom.operators.order import expand_copies, global_rank, label_by_position, running_total
 
 
@@ -188,3 +190,30 @@ def test_rows_are_stored_in_shuffled_order(spark):
     assert all(a.max + 1 == b.min for a, b in zip(spans, spans[1:])) and (spans[0].min, spans[-1].max) == (1, 5000)
     ranges = tables.position_ranges(spark, path, "position").orderBy("first").collect()
     assert sum(r["n"] for r in ranges) == 5000 and [r["file"] for r in ranges] == [f.name for f in files]
+
+
+def test_values_inside_brackets_are_counted_without_generated_comparisons(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    x, y = r.normal(size=3000).round(2) - 0.0, r.integers(0, 9, 3000).astype(float)
+    x[:40], y[40:90] = np.nan, -0.0
+    df = spark.createDataFrame([(None if np.isnan(a) else float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(4)
+    for p in [F.col("x") ** 3 + F.col("y")]:
+        df = df.withColumn("p", p)
+    monkeypatch.setattr(F, "explode", None)  # each bracket was a generated expression once
+    got = quantile.exact_quantiles(df, ["x", "y", "p"], [0.1, 0.25, 0.75], direct_rows=10)
+    for c, values in (("x", x), ("y", y), ("p", x**3 + y)):
+        assert got[c] == pytest.approx(list(np.nanquantile(values, [0.1, 0.25, 0.75])), abs=1e-9)
+
+
+def test_features_of_few_values_are_ranked_without_a_shuffle(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    frame = pd.DataFrame({"y": r.normal(size=900).round(1), "few": r.integers(0, 5, 900).astype(float), "some": r.integers(0, 30, 900).astype(float), "many": r.normal(size=900)})
+    frame.loc[::7, "few"] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in frame.to_numpy()], "y double, few double, some double, many double").repartition(4)
+    shuffled, plain = [], profile.look_up
+    monkeypatch.setattr(profile, "look_up", lambda rows, *a, **b: shuffled.extend(x["f"] for x in rows.select("f").distinct().collect()) or plain(rows, *a, **b))
+    for limit, wide in ((20, [1, 2]), (100, [2]), (10, [1, 2])):
+        shuffled.clear()
+        got = {x["feature"]: x["rho"] for x in profile.spearman_with_target(df, "y", broadcast_rows=limit, hot_rows=50).collect()}
+        assert sorted(shuffled) == wide
+        assert got == pytest.approx({c: frame[[c, "y"]].dropna().corr("spearman").iloc[0, 1] for c in ("few", "some", "many")}, abs=1e-9)
