@@ -19,8 +19,9 @@ from tokenizers import Tokenizer
 
 from gridloom.llm import byte_bpe, hnsw, katz, ngram_join, packing, substring_dedup, syncmers, toxicity, url_filter, vector_links, warc
 from gridloom.llm.common import NO_ID, crc_fold, gram_hashes, word_hashes
+from gridloom.llm import components as component_steps
 from gridloom.llm.components import components
-from gridloom.sources.scratch import scratch_path
+from gridloom.sources.scratch import scratch_path, written
 from tests.llm import brute
 
 TEXTS = "doc_id long, text string, _id string, _text string, ids int, shard int"
@@ -79,6 +80,29 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, component_steps.FEW_EDGES])
+def test_components_rounds(spark, monkeypatch, few):
+    """Stars need no round, and few edges none either; rounds and one task give the same."""
+    tables = []
+    monkeypatch.setattr(component_steps, "FEW_EDGES", few)
+    monkeypatch.setattr(component_steps, "written", lambda df, label: tables.append(label) or written(df, label))
+    stars = spark.createDataFrame([(c, c + 100 * k) for c in range(5) for k in range(1, 30)], "src long, dst long").repartition(4)
+    assert {x.node: x.component for x in components(stars).collect()} == {c + 100 * k: c for c in range(5) for k in range(30)}
+    assert len(tables) == 1 + (few > 0)
+    tables.clear()
+    chain = spark.createDataFrame([((7 * i) % 101, (7 * i + 7) % 101) for i in range(100)] + [(200, 201), (201, 201)], "src long, dst long").repartition(9)
+    assert {x.node: x.component for x in components(chain).collect()} == {i: 0 for i in range(101)} | {200: 200, 201: 200}
+    assert few == 0 or len(tables) == 2
+
+
+@pytest.mark.parametrize("few", [0, component_steps.FEW_EDGES])
+def test_joined_regions(spark, monkeypatch, few):
+    monkeypatch.setattr(component_steps, "FEW_EDGES", few)
+    rows = [(1, b"c"), (1, b"b"), (2, b"b"), (2, b"d"), (2, b"d"), (3, b"a"), (4, b"a"), (5, b"x"), (5, b"y"), (6, b"d"), (6, b"e")]
+    cells = ngram_join.joined_regions(spark.createDataFrame(rows, "region long, cls binary").repartition(4)).collect()
+    assert sorted((bytes(x.cell), bytes(x.cls)) for x in cells) == [(b"b", b"b"), (b"b", b"c"), (b"b", b"d"), (b"b", b"e"), (b"x", b"x"), (b"x", b"y")]
+
+
 # 1 URL filter
 
 
