@@ -35,8 +35,10 @@ LENGTH = 4096
 END_ID = 2
 #: Tokens a task gathers before it packs them: the padding of a block is less than one sequence.
 BLOCK_TOKENS = 2048 * LENGTH
-#: Distinct words a worker keeps before it forgets those it met once.
-CACHED = 300_000
+#: Distinct words a worker keeps before those it has not met since the last time are forgotten: at most twice as many.
+CACHED = 250_000
+#: Small letters of Latin-1.
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower())
 #: Bytes of text encoded at once.
 ENCODED_BYTES = 2 << 20
 #: Sequence ids of a task begin at its number times this.
@@ -46,11 +48,48 @@ _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 @lru_cache(maxsize=4)
-def _words(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
-    """The tokenizer, and ids by word; the worker keeps both."""
+def _words(path: str) -> tuple[Tokenizer, dict[str, bytes], dict[str, bytes]]:
+    """The tokenizer, and ids by word: those met lately and those met before; the worker keeps all."""
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # words come in lower case here; special tokens are taken out of the text before
-    return tokenizer, {}
+    return tokenizer, {}, {}
+
+
+@lru_cache(maxsize=4)
+def _spelled(path: str) -> dict[int, str] | None:
+    """How the tokenizer's model is given each small letter of Latin-1; none if words of them alone don't reach it whole."""
+    tokenizer = _words(path)[0]
+    if not tokenizer.pre_tokenizer or any(t.content.isalpha() for t in tokenizer.get_added_tokens_decoder().values()):
+        return None
+    cut = tokenizer.pre_tokenizer.pre_tokenize_str
+    letters = {c: "".join(piece for piece, _ in cut(c)) for c in _LETTERS}
+    for word in (*_LETTERS, _LETTERS, _LETTERS[::-1]):
+        as_is = tokenizer.normalizer is None or tokenizer.normalizer.normalize_str(word) == word
+        if not as_is or [piece for piece, _ in cut(word)] != ["".join(letters[c] for c in word)]:
+            return None
+    return {ord(c): piece for c, piece in letters.items()}
+
+
+def _id_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes() if _BIG_ENDIAN else array("I", ids).tobytes()
+
+
+def _encoded_parts(parts: list[str], path: str) -> dict[str, bytes]:
+    """Ids of parts of words: words of small Latin letters go straight to the model, others through the whole tokenizer."""
+    tokenizer, spelled = _words(path)[0], _spelled(path)
+    whole, found = [], {}
+    if spelled:
+        split = tokenizer.model.tokenize
+        for part in parts:
+            if part.isalpha() and part.islower() and (part.isascii() or max(part) < "\u0100"):
+                found[part] = _id_bytes([token.id for token in split(part.translate(spelled))])
+            else:
+                whole.append(part)
+    else:
+        whole = parts
+    for part, encoding in zip(whole, tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+        found[part] = _id_bytes(encoding.ids)
+    return found
 
 
 @lru_cache(maxsize=4)
@@ -85,19 +124,20 @@ def encoded_texts(texts: list[str], path: str = TOKENIZER) -> list[bytes]:
 
 def _encoded_words(texts: list[str], path: str) -> list[bytes]:
     """Ids of texts without special tokens."""
-    tokenizer, known = _words(path)
+    _, known, before = _words(path)
     split = [_lowered(text.replace("\n", " ")).split(" ") for text in texts]
     words = set().union(*split)
     if len(known) > CACHED:  # words met again are worth keeping, most others never come back
-        again = {word: known[word] for word in words if word in known}
+        before.clear()
+        before.update(known)
         known.clear()
-        known.update(again)
     known[""] = b""
+    known.update({word: before[word] for word in words if word in before and word not in known})
     new = [word for word in words if word not in known]
     cores = [without_marks(word) for word in new]
-    parts = [part for part in {part for word, core in zip(new, cores) for part in (core, word[len(core) :])} if part not in known]
-    for part, encoding in zip(parts, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-        known[part] = np.array(encoding.ids, "<u4").tobytes() if _BIG_ENDIAN else array("I", encoding.ids).tobytes()
+    parts = {part for word, core in zip(new, cores) for part in (core, word[len(core) :])}
+    known.update({part: before[part] for part in parts if part in before and part not in known})
+    known.update(_encoded_parts([part for part in parts if part not in known], path))
     for word, core in zip(new, cores):
         if len(core) < len(word):
             known[word] = known[core] + known[word[len(core) :]]

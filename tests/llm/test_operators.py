@@ -257,6 +257,26 @@ def test_count_min_never_underestimates():
 # 5 N-gram join
 
 
+def test_word_ids_of_letters(monkeypatch):
+    """Words of small Latin letters go straight to the model, with the same ids; words met lately are not encoded again."""
+    r, tokenizer = random.Random(8), Tokenizer.from_file(packing.TOKENIZER)
+    marks = [chr(i) for i in range(33, 0x180)] + ["\u0301", "e\u0301", "ﬁ", "Σας", "İ", "ſ"]
+    words = marks + [c * 2 for c in marks] + ["".join(r.choices(packing._LETTERS, k=r.randrange(1, 40))) for _ in range(300)]
+    words += ["".join(r.choices(packing._LETTERS + "AÉ'.1", k=6)) for _ in range(300)] + ["é" * 3000]
+    words = [w for w in words if "\x85" not in w and "\xa0" not in w]
+    lists = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + words
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.encoded_texts(lists)] == [e.ids for e in tokenizer.encode_batch(lists, add_special_tokens=False)]
+    packing._words.cache_clear()
+    seen, encode = [], packing._encoded_parts
+    monkeypatch.setattr(packing, "CACHED", 3)
+    monkeypatch.setattr(packing, "_encoded_parts", lambda parts, path: seen.extend(parts) or encode(parts, path))
+    for text in ("ab cd", "ef gh", "ij", "ab kl", "ab"):
+        assert np.frombuffer(packing.word_ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(p for p in seen if p) == ["ab", "cd", "ef", "gh", "ij", "kl"]
+    packing._words.cache_clear()
+
+
+
 @pytest.mark.parametrize("sizes", [{}, {"leaf": 12, "pivots": 3, "block": 6}])
 def test_ngram_join(spark, sizes):
     r = random.Random(8)
