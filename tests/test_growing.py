@@ -230,3 +230,19 @@ def test_a_large_forest_stays_a_table_and_predicts_the_same(spark, monkeypatch,
     for (nodes, weights), stage in ((models.stored_trees(spark, loaded, ""), loaded), (models.stored_trees(spark, small, path), small)):
         values, base = attribution.tree_attributions(stage.transform(df), ["id", "prediction"], FEATURES, nodes, weights)
         assert values.selectExpr("max(abs(aggregate(values, CAST(0 AS DOUBLE), (s, v) -> s + v) + %r - prediction)) AS gap" % base).first()["gap"] < 1e-6
+
+
+def test_small_trees_grow_and_score_together(spark, monkeypatch):
+    x, y = rows(60)
+    df = table(spark, x, y)
+    calls, grow = [], growing._grow_small
+    monkeypatch.setattr(growing, "_grow_small", lambda *a: calls.append(len(a[1])) or grow(*a))
+    params = {"n_estimators": 40, "min_samples_leaf": 2, "max_features": 0.7}
+    alone, _ = trees.fit_trees(df, "y", trees.FOREST, params, features=FEATURES)
+    assert calls == [40]  # one pass, not one for every 16 trees
+    monkeypatch.setattr(growing, "TOGETHER_ROWS", 0)
+    few, _ = trees.fit_trees(df, "y", trees.FOREST, params, features=FEATURES)
+    large, _ = trees.fit_trees(df, "y", trees.FOREST, params, features=FEATURES, model_nodes=0)
+    assert calls == [40, *[16, 16, 8] * 2] and isinstance(large.stages[-1], forests.ForestModel)
+    assert predicted(alone, df).tolist() == predicted(few, df).tolist()
+    assert np.allclose(predicted(alone, df), predicted(large, df))
