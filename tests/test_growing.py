@@ -246,3 +246,21 @@ def test_small_trees_grow_and_score_together(spark, monkeypatch):
     assert calls == [40, *[16, 16, 8] * 2] and isinstance(large.stages[-1], forests.ForestModel)
     assert predicted(alone, df).tolist() == predicted(few, df).tolist()
     assert np.allclose(predicted(alone, df), predicted(large, df))
+
+
+def test_forest_query_searches_all(spark, monkeypatch):
+    from gridloom.registry import model_queries
+
+    class Searched(Exception):
+        pass
+
+    def watched(space, objective, trials, **_):
+        raise Searched(tuple(space), trials)
+
+    made = []
+    monkeypatch.setattr(trees.growing, "make_blocks", lambda *a, **k: made.append(a) or growing.Blocks(None, [], 0, 0.0, scratch_path(spark, "none")))
+    monkeypatch.setattr(trees.sampler, "search", lambda _, *a, **k: watched(*a, **k))
+    monkeypatch.setattr(model_queries, "learnable", lambda *_: spark.range(40).select(F.col("id").alias("o_orderkey"), F.col("id").cast("double").alias("a"), F.col("id").cast("double").alias("score")))
+    with pytest.raises(Searched) as seen:
+        model_queries.forest_search(spark, "folder")
+    assert seen.value.args == (search.FOREST_SPACE, 50) and len(made) == 5
